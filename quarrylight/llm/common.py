@@ -16,8 +16,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def lower_ascii(col: Column) -> Column:
-    """Lower-case A-Z only; other letters stay as they are."""
-    return F.translate(col, UPPER, UPPER.lower())
+    """Lower-case A-Z only; other letters stay as they are. Texts that are all ASCII take the faster way."""
+    return F.when(F.octet_length(col) == F.char_length(col), F.lower(col)).otherwise(F.translate(col, UPPER, UPPER.lower()))
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -54,10 +54,3 @@ def require(df: DataFrame, *names: str) -> None:
     if missing:
         raise ValueError(f"missing columns: {', '.join(missing)}")
 
-
-def fresh(df: DataFrame, stem: str) -> str:
-    """A column name that does not clash with the caller's columns."""
-    name, taken = f"__{stem}", {c.lower() for c in df.columns}
-    while name.lower() in taken:
-        name = f"_{name}"
-    return name
