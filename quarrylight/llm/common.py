@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -48,6 +49,25 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+class Shelf:
+    """Tables stored as Parquet in the shared folder while an operator works; gone when it is done."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.folder = spark, f"{shared_folder(spark).rstrip('/')}/shelf-{uuid.uuid4().hex}"
+
+    def __enter__(self) -> Shelf:
+        return self
+
+    def put(self, name: str, df: DataFrame) -> DataFrame:
+        path = f"{self.folder}/{name}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def __exit__(self, *_) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def require(df: DataFrame, *names: str) -> None:
     """Raise ValueError if a column that an operator reads is missing."""
     missing = [n for n in names if n not in df.columns]

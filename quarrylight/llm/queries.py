@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontam, html_extract, minhash, mixing, sharding, topk, toxicity, url_filter, warc
+from . import decontam, html_extract, line_dedup, minhash, mixing, sharding, topk, toxicity, url_filter, warc
 from .common import table
 
 
@@ -40,6 +40,10 @@ def op7_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_extract.main_text(table(spark, sf_dir, "pages"))
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
@@ -48,7 +52,7 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_topk, op3_decontamination, op4_toxicity, op5_mixing, op6_minhash, op7_html_extraction, op9_url_filter, op10_warc)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_topk, op3_decontamination, op4_toxicity, op5_mixing, op6_minhash, op7_html_extraction, op8_line_dedup, op9_url_filter, op10_warc)}
 
 ORACLES = {
     "op3_decontamination": r"""
