@@ -9,6 +9,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .. import catalogue as C
 
@@ -46,7 +47,7 @@ def sql_text(col: Column) -> Column:
     return F.when(~col.isin(*C.MISSING), col)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _fold(col: pd.Series) -> pd.Series:
     return col.fillna("").str.lower().str.strip().str.normalize("NFKD").str.encode("ascii", "ignore").str.decode("ascii")
 
@@ -145,7 +146,7 @@ def _clean_one(text: str) -> str:
     return " ".join(_PUNCTUATION.sub(r"\1", plain).split())[:MAX_CLEAN]
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def clean_text(col: pd.Series) -> pd.Series:
     """Text without markup entities, symbols, links, addresses and repeated punctuation."""
     return col.map(_clean_one, na_action="ignore")

@@ -31,8 +31,9 @@ def url_domain(url: Column) -> Column:
 
 def domain_of(website: Column) -> Column:
     """Domain of a website that may lack a scheme; null if there is none."""
-    found = url_domain(normalise_url(website))
-    return F.when(found != "", found)
+    netloc = F.regexp_extract(strip_ws(website), r"^(?:https?://)?([^/?#]*)", 1)
+    found = F.regexp_replace(F.lower(strip_ws(netloc)), r"^www\.", "")
+    return F.get(F.filter(F.array(found), lambda d: d != ""), F.lit(0))  # evaluates it once, unlike a condition on it
 
 
 def clean_internal_url(url: Column) -> Column:
@@ -84,34 +85,40 @@ def robots_url(url: Column) -> Column:
     return F.concat(part(url, 2), F.lit("://"), part(url, 4), F.lit("/robots.txt"))
 
 
-def _host_labels(domain: Column) -> Column:
-    return F.split(F.regexp_replace(F.lower(strip_ws(domain)), r"^[^/]*//|[:/?#].*$", ""), r"\.")
+_TWO = "|".join(re.escape(x) for x in C.TWO_PART_SUFFIXES)
+_SUFFIX = rf"(?:{_TWO}|(?!\d+$)[^.]*)"
+
+
+def _plain_host(domain: Column) -> Column:
+    return F.regexp_replace(F.lower(strip_ws(domain)), r"^[^/]*//|[:/?#].*$", "")
 
 
 def public_suffix(domain: Column) -> Column:
     """Last label, or the last two where both are a known suffix; empty for a single label or an address."""
-    labels = _host_labels(domain)
-    two = F.array_join(F.slice(labels, F.greatest(F.size(labels) - 1, F.lit(1)), F.lit(2)), ".")
-    numeric = F.element_at(labels, -1).rlike(r"^\d+$")
-    return F.when((F.size(labels) < 2) | numeric, F.lit("")).when((F.size(labels) > 2) & two.isin(*C.TWO_PART_SUFFIXES), two).otherwise(F.element_at(labels, -1))
+    return F.regexp_extract(_plain_host(domain), rf"\.({_SUFFIX})$", 1)
 
 
 def registered_label(domain: Column) -> Column:
     """The label before the public suffix."""
-    labels = _host_labels(domain)
-    before = F.size(labels) - F.when(public_suffix(domain) == "", 0).otherwise(F.size(F.split(public_suffix(domain), r"\.")))
-    return F.coalesce(F.get(labels, before - 1), F.lit(""))
+    host, pattern = _plain_host(domain), rf"(?:^|\.)(?:([^.]*)\.{_SUFFIX}|([^.]*))$"
+    return F.concat(F.regexp_extract(host, pattern, 1), F.regexp_extract(host, pattern, 2))
+
+
+def _top_level(domain: Column) -> Column:
+    return F.regexp_extract(_plain_host(domain), r"\.((?!\d+$)[^.]*)$", 1)
+
+
+def _expected(country: Column) -> Column:
+    own = F.create_map(*[F.lit(x) for pair in C.COUNTRY_SUFFIX.items() for x in pair])
+    return F.try_element_at(own, F.lower(strip_ws(country)))
 
 
 def country_status(country: Column, domain: Column) -> Column:
     """country_match, country_mismatch (another of the ten countries), global_domain or unknown."""
-    suffix = public_suffix(domain)
-    last = F.regexp_extract(suffix, r"([^.]*)$", 1)
-    own = F.create_map(*[F.lit(x) for pair in C.COUNTRY_SUFFIX.items() for x in pair])
-    expected = F.try_element_at(own, F.lower(strip_ws(country)))
+    last = _top_level(domain)
     return (
-        F.when(country.isNull() | domain.isNull() | (suffix == ""), F.lit("unknown"))
-        .when(F.coalesce(last == expected, F.lit(False)), F.lit("country_match"))
+        F.when(country.isNull() | domain.isNull() | (last == ""), F.lit("unknown"))
+        .when(last == _expected(country), F.lit("country_match"))
         .when(last.isin(*C.COUNTRY_SUFFIX.values()), F.lit("country_mismatch"))
         .otherwise(F.lit("global_domain"))
     )
@@ -119,22 +126,17 @@ def country_status(country: Column, domain: Column) -> Column:
 
 def country_status_plain(country: Column, domain: Column) -> Column:
     """The notebook's signal: any other two-letter suffix is a mismatch."""
-    suffix = public_suffix(domain)
-    last = F.regexp_extract(suffix, r"([^.]*)$", 1)
-    own = F.create_map(*[F.lit(x) for pair in C.COUNTRY_SUFFIX.items() for x in pair])
-    expected = F.try_element_at(own, F.lower(strip_ws(country)))
-    none = country.isNull() | domain.isNull() | (suffix == "") | expected.isNull()
+    last, expected = _top_level(domain), _expected(country)
+    none = domain.isNull() | (last == "") | expected.isNull()
     return F.when(none, F.lit("global_or_unknown")).when(last == expected, F.lit("country_match")).when(F.length(last) == 2, F.lit("country_mismatch")).otherwise(F.lit("global_or_unknown"))
 
 
 def website_usable(website: Column) -> Column:
     """Looks like a company site: a host with a dot, no mail address, no file, no blocked host."""
-    url = F.lower(strip_ws(website))
-    domain = domain_of(website)
     files = "|".join(re.escape(e) for e in C.FILE_EXTENSIONS)
     blocked = "|".join(re.escape(h) for h in C.BLOCKED_HOSTS)
-    good = (url != "") & ~F.contains(url, F.lit("@")) & F.contains(url, F.lit(".")) & ~url.rlike(f"(?:{files})$") & domain.isNotNull() & ~domain.rlike(rf"(?:^|\.)(?:{blocked})$")
-    return F.coalesce(good, F.lit(False))
+    site = F.lower(strip_ws(website)).rlike(rf"(?s)^(?!.*(?:{files})$)(?=.*\.)[^@]+$")
+    return F.coalesce(site & domain_of(website).rlike(rf"(?s)^(?!(?:.*\.)?(?:{blocked})$).+$"), F.lit(False))
 
 
 def value_path_bonus(url: Column) -> Column:
