@@ -54,7 +54,40 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {f.__name__: f for f in (op1_sharding, op2_topk, op3_decontamination, op4_toxicity, op5_mixing, op6_minhash, op7_html_extraction, op8_line_dedup, op9_url_filter, op10_warc)}
 
+
+
+def _url_sql() -> str:
+    """The URL filter in SQL, level by level."""
+    u = url_filter
+    fits = [(f"(host = '{r.host}' OR ends_with(host, '.{r.host}')) AND starts_with(path, '{r.path}')", r) for r in sorted(u.RULES, key=lambda r: -len(r.name))]
+    pick = lambda what: "CASE " + " ".join(f"WHEN {f} THEN '{what(r)}'" for f, r in fits) + " END"
+    levels = ""
+    for k in range(u.DEPTH):
+        levels += f"""w{k} AS (SELECT host, segments[1:{k}] AS parent FROM n{k} WHERE len(segments) > {k} GROUP BY 1, 2 HAVING count(DISTINCT segments[{k + 1}]) >= {u.MANY_CHILDREN}),
+        n{k + 1} AS (SELECT n.host, shape, good, bad, CASE WHEN w.host IS NULL THEN segments ELSE list_transform(segments, lambda x, i: CASE WHEN i = {k + 1} THEN '*' ELSE x END) END AS segments
+                     FROM n{k} n LEFT JOIN w{k} w ON n.host = w.host AND n.segments[1:{k}] = w.parent),
+        """
+    return rf"""
+        WITH a AS (SELECT page_id, coalesce(CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) END, '') AS rest FROM pages),
+        b AS (SELECT page_id, translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path FROM a),
+        c AS (SELECT *, {pick(lambda r: r.name)} AS rule, {pick(lambda r: r.verdict)} AS ruled,
+                     list_transform(list_filter(string_split(regexp_replace(path, '[0-9]+', '{{n}}', 'g'), '/'), lambda x: x <> ''),
+                                    lambda x: CASE WHEN contains(x, '{{n}}') AND regexp_matches(x, '{u.ID_SEGMENT}') THEN concat('{{id}}', regexp_extract(x, '\.[^.]*$')) ELSE x END) AS parts FROM b),
+        d AS (SELECT *, CASE WHEN len(parts) > {u.DEPTH} THEN list_append(parts[1:{u.DEPTH}], '**') ELSE parts END AS shape,
+                     CASE WHEN ruled = 'block' THEN 1 WHEN ruled = 'allow' THEN 0 WHEN regexp_matches(concat(host, '/', path), '{u.JUNK}') THEN 1 END AS label FROM c),
+        n0 AS (SELECT host, shape, count(*) FILTER (label = 0) AS good, count(*) FILTER (label = 1) AS bad, shape AS segments FROM d GROUP BY host, shape),
+        {levels}tree AS (SELECT host, segments, segments[1:greatest(len(segments) - 1, 0)] AS parent, sum(good) AS good, sum(bad) AS bad FROM n{u.DEPTH} GROUP BY 1, 2),
+        prior AS (SELECT coalesce(sum(bad) / nullif(sum(good) + sum(bad), 0), 0.0) AS prior FROM n0),
+        sib AS (SELECT host, parent, sum(good) AS sg, sum(bad) AS sb FROM tree GROUP BY 1, 2),
+        e AS (SELECT t.*, good + bad AS n, sg + sb AS sn, sb, prior FROM tree t JOIN sib USING (host, parent), prior),
+        f AS (SELECT *, coalesce(abs(bad / nullif(n, 0) - (sb - bad) / nullif(sn - n, 0)) <= {u.Z} * sqrt(sb / nullif(sn, 0) * (1 - sb / nullif(sn, 0)) * sn / nullif(n * (sn - n), 0)), false) AS pooled FROM e),
+        g AS (SELECT host, segments, CASE WHEN CASE WHEN pooled THEN sn ELSE n END > 0 THEN (CASE WHEN pooled THEN sb ELSE bad END + {u.SMOOTHING} * prior) / (CASE WHEN pooled THEN sn ELSE n END + {u.SMOOTHING}) ELSE 0 END AS purity FROM f),
+        v AS (SELECT m.host, m.shape, purity FROM n{u.DEPTH} m JOIN g USING (host, segments))
+        SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN purity >= {u.REJECT} THEN 'block' ELSE 'allow' END) AS verdict FROM d LEFT JOIN v USING (host, shape)"""
+
+
 ORACLES = {
+    "op9_url_filter": _url_sql(),
     "op3_decontamination": r"""
         WITH d AS (SELECT doc_id, row_number() OVER () AS r, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
         b AS (SELECT item_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM benchmark),

@@ -29,6 +29,7 @@ from .common import lower_ascii, require, settle
 
 #: Words, between separators of a url, that mark a site as junk. Fixed values.
 BAD_WORDS = ("casino", "poker", "bets", "betting", "adult", "porn", "xxx", "sex", "escort", "viagra", "cialis", "spam", "warez", "payday", "loans", "lottery", "slots")
+JUNK = rf"(?i)(?:^|[^a-z])(?:{'|'.join(BAD_WORDS)})(?:[^a-z]|$)"
 DEPTH = 4
 MANY_CHILDREN = 64
 SMOOTHING = 4.0
@@ -67,11 +68,14 @@ def rule_of(host: Column, path: Column, rules: tuple[Rule, ...] = RULES) -> tupl
     return name, verdict
 
 
+#: A segment that is an id once its digits are wildcards.
+ID_SEGMENT = r"(?i)^[0-9a-f{}n-]{8,}(?:\.[^.]*)?$"
+
+
 def segments(path: Column) -> Column:
     """The first DEPTH segments with obvious variables as wildcards; deeper ones as one."""
-    shape = F.regexp_replace(path, r"\d+", "{n}")
-    shape = F.regexp_replace(shape, r"(?i)/(?=[0-9a-f{}n-]*\{n\})[0-9a-f{}n-]{8,}(?=[/.]|$)", "/{id}")
-    parts = F.filter(F.split(shape, "/"), lambda x: x != "")
+    parts = F.filter(F.split(F.regexp_replace(path, "[0-9]+", "{n}"), "/"), lambda x: x != "")
+    parts = F.transform(parts, lambda x: F.when(F.contains(x, F.lit("{n}")) & x.rlike(ID_SEGMENT), F.concat(F.lit("{id}"), F.regexp_extract(x, r"\.[^.]*$", 0))).otherwise(x))
     return F.when(F.size(parts) > DEPTH, F.concat(F.slice(parts, 1, DEPTH), F.array(F.lit("**")))).otherwise(parts)
 
 
@@ -116,7 +120,7 @@ def judge(df: DataFrame, id_col: str = "page_id", url_col: str = "url", rules: t
     urls = df.select(F.col(id_col).alias("id"), host.alias("host"), path.alias("path"))
     name, verdict = rule_of(F.col("host"), F.col("path"), rules)
     words = F.concat_ws("/", "host", "path")
-    marked = words.rlike(rf"(?i)(?:^|[^a-z])(?:{'|'.join(BAD_WORDS)})(?:[^a-z]|$)")
+    marked = words.rlike(JUNK)
     urls = urls.withColumns({"rule": name, "ruled": verdict, "shape": segments(F.col("path"))})
     urls = urls.withColumn("label", F.when(F.col("ruled") == "block", F.lit(1)).when(F.col("ruled") == "allow", F.lit(0)).when(marked, F.lit(1)))
     counted = settle(urls.groupBy("host", "shape").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("label") == 0, 1)).alias("good"), F.count(F.when(F.col("label") == 1, 1)).alias("bad")))
