@@ -608,5 +608,11 @@ ORACLES = {
     "translation_join": f"""WITH k AS (SELECT doc_id AS id, {_CLEANED_TEXT} AS t FROM documents WHERE doc_id % 9 <> 0 AND trim(text) <> ''), f AS (SELECT t, min(id) AS first FROM k GROUP BY 1)
         SELECT id, CASE WHEN first % 2 = 0 THEN 'en' ELSE 'xx' END AS detect_language, CASE WHEN first % 2 = 0 THEN 'already_english' ELSE 'translated' END AS translation_status, md5(CASE WHEN first % 2 = 0 THEN t ELSE concat('English: ', t) END) AS translated FROM k JOIN f USING (t)""",
     "translation_prompts": "SELECT doc_id, md5(concat('Translate the following company values text from ', upper(lang), ' (', lang, ') into English.', chr(10), chr(10), 'Rules:', chr(10), '- Translate literally and completely.', chr(10), '- Do not summarise.', chr(10), '- Do not reorganise the content.', chr(10), '- Do not add headings unless they exist in the source.', chr(10), '- Do not explain the translation.', chr(10), '- Return only the translated text.', chr(10), chr(10), 'SOURCE TEXT:', chr(10), coalesce(text, ''))) AS prompt FROM documents",
+    "robots_eval": f"""WITH p AS (SELECT page_id AS company_id, nullif({_host(_norm("url"))}, '') AS domain, regexp_extract(url, '^(https?://[^/?#]+)', 1) AS site, regexp_extract(url, '^https?://([^/?#]+)', 1) AS host, {_path("url")} AS path FROM pages)
+        SELECT company_id, domain, concat(site, '/robots.txt') AS robots_url, CASE WHEN starts_with(host, 'm.') THEN 404 ELSE 200 END AS robots_status_code,
+               starts_with(host, 'm.') OR NOT (contains(host, 'blog.') AND starts_with(path, '/en')) AS robots_allowed,
+               CASE WHEN starts_with(host, 'm.') THEN 'robots_status_404' WHEN contains(host, 'blog.') AND starts_with(path, '/en') THEN 'blocked' ELSE 'allowed' END AS robots_reason FROM p""",
+    "homepage_fetch": f"""SELECT page_id AS company_id, url AS final_url, CASE WHEN contains(url, '/de/') THEN 503 ELSE 200 END AS homepage_status_code, 'text/html' AS homepage_content_type, {_INTERNAL.format(u="url")} AS homepage_fetch_url,
+        NOT contains(url, '/de/') AS homepage_fetch_success, CASE WHEN contains(url, '/de/') THEN 'homepage_http_error_503' ELSE '' END AS homepage_error FROM pages""",
     "export_cleanup": r"SELECT conv_id, turn, regexp_replace(regexp_replace(regexp_replace(text, '[\r\n\t]+', ' ', 'g'), '\s{2,}', ' ', 'g'), '^\s+|\s+$', '', 'g') AS clean FROM conversations",
 }
