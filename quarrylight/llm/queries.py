@@ -86,7 +86,26 @@ def _url_sql() -> str:
         SELECT page_id, host, path, rule, coalesce(ruled, CASE WHEN purity >= {u.REJECT} THEN 'block' ELSE 'allow' END) AS verdict FROM d LEFT JOIN v USING (host, shape)"""
 
 
+_WORDS_SQL = r"list_filter(regexp_split_to_array(translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda t: t <> '')"
+
 ORACLES = {
+    "op6_minhash": f"""
+        WITH RECURSIVE w AS (SELECT doc_id, {_WORDS_SQL.format(x="coalesce(text, '')")} AS w FROM documents),
+        s AS (SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')] ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i : i + 3], ' '))) END AS s FROM w),
+        t AS (SELECT doc_id, len(s) AS n, unnest(s) AS x FROM s),
+        p AS (SELECT a.doc_id AS a, b.doc_id AS b FROM t a JOIN t b ON a.x = b.x AND a.doc_id <> b.doc_id GROUP BY 1, 2, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*))),
+        r AS (SELECT doc_id AS a, doc_id AS c FROM s UNION SELECT r.a, p.b FROM r JOIN p ON r.c = p.a)
+        SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, m.c AS component_id, doc_id = m.c AS kept FROM s JOIN (SELECT a, min(c) AS c FROM r GROUP BY 1) m ON m.a = s.doc_id""",
+    "op8_line_dedup": f"""
+        WITH d AS (SELECT doc_id, string_split(text, chr(10)) AS l FROM documents),
+        l AS (SELECT doc_id, i - 1 AS line, list_sort(list_distinct({_WORDS_SQL.format(x="l[i]")})) AS s FROM d, unnest(range(1, len(l) + 1)) AS t(i)),
+        o AS (SELECT *, row_number() OVER (ORDER BY doc_id, line) AS o FROM l WHERE len(s) > 0),
+        n AS (SELECT s, min(o) AS o, len(s) AS n FROM o GROUP BY s),
+        t AS (SELECT o, n, unnest(s) AS x FROM n),
+        near AS (SELECT DISTINCT o FROM (SELECT b.o FROM t a JOIN t b ON a.x = b.x AND a.o < b.o AND 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n) GROUP BY a.o, b.o, a.n, b.n HAVING 100 * count(*) >= 80 * (a.n + b.n - count(*)))),
+        m AS (SELECT doc_id, line, o.o <> n.o AS same, near.o IS NOT NULL AS near FROM o JOIN n USING (s) LEFT JOIN near ON near.o = n.o),
+        g AS (SELECT doc_id, count(*) FILTER (same) AS n_same, count(*) FILTER (NOT same AND near) AS n_near, string_agg(CAST(line AS VARCHAR), ',' ORDER BY line) FILTER (same OR near) AS removed FROM m GROUP BY 1)
+        SELECT doc_id, CAST(coalesce(len(l), 0) AS BIGINT) AS n_lines, coalesce(n_same, 0) AS n_same, coalesce(n_near, 0) AS n_near, coalesce(removed, '') AS removed FROM d LEFT JOIN g USING (doc_id)""",
     "op9_url_filter": _url_sql(),
     "op3_decontamination": r"""
         WITH d AS (SELECT doc_id, row_number() OVER () AS r, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda x: x <> '') AS w FROM documents),
