@@ -31,7 +31,7 @@ from .common import Shelf, require, settle
 from .textsets import chunks, hashed_words, mix
 
 SHARE, WHOLE = 80, 100
-CELLS = 1 << 22
+CELLS, PAGE = 1 << 22, 1 << 14
 OFTEN = 64
 MOST_LINES = 1 << 14
 BROADCAST_ROWS = 300_000
@@ -60,12 +60,21 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(part.astype(np.int32)), pa.array(counts[part])], names=["cell", "n"])
 
 
+def _pack(group: pa.Table) -> pa.Table:
+    """One row for PAGE cells: page number, and a byte for each cell."""
+    cells, q = group["cell"].to_numpy(), group["q"].to_numpy()
+    page = np.zeros(PAGE, np.uint8)
+    page[cells % PAGE] = q
+    return pa.table({"page": pa.array([int(cells[0]) // PAGE], pa.int32()), "bytes": pa.array([page.tobytes()])})
+
+
 def rarity(df: DataFrame, text_col: str) -> np.ndarray:
     """For each cell the rounded 8 * log2 of its count, at most 255; 0 for a count of 1."""
     counts = df.select(F.col(text_col)).mapInArrow(_count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n"))
+    found = counts.filter("n > 1").select("cell", F.least(F.lit(255), F.round(8 * F.log2("n"))).cast("int").alias("q"), F.floor(F.col("cell") / PAGE).alias("page"))
     out = np.zeros(CELLS, np.uint8)
-    found = counts.filter("n > 1").select("cell", F.least(F.lit(255), F.round(8 * F.log2("n"))).cast("short").alias("q")).toPandas()  # at most CELLS small rows
-    out[found["cell"].to_numpy(np.int64)] = found["q"].to_numpy(np.uint8)
+    for row in found.groupBy("page").applyInArrow(_pack, "page int, bytes binary").toLocalIterator():  # CELLS bytes in all
+        out[row["page"] * PAGE : (row["page"] + 1) * PAGE] = np.frombuffer(row["bytes"], np.uint8)
     return out
 
 
