@@ -74,7 +74,9 @@ def test_deduplicate_keeps_one_row_each(documents):
     assert minhash.groups(documents([])).count() == 0
 
 
-def test_components(spark):
+@pytest.mark.parametrize("local", [0, 1000])
+def test_components(spark, monkeypatch, local):
+    monkeypatch.setattr(components, "LOCAL_EDGES", local)
     rnd = random.Random(4)
     edges = [(rnd.randrange(200), rnd.randrange(200)) for _ in range(120)] + [(500 + i, 501 + i) for i in range(40)] + [(900, 1000 + i) for i in range(50)]
     got = {r.node: r.label for r in components.connected(spark.createDataFrame(edges, "a long, b long")).collect()}
