@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -49,6 +51,20 @@ def settle(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+@contextmanager
+def small_batches(spark: SparkSession, rows: int = 1000) -> Iterator[None]:
+    """Send at most so many texts to a Python worker at once, in the jobs that run inside."""
+    before = spark.conf.get(BATCH_ROWS)
+    spark.conf.set(BATCH_ROWS, str(min(rows, int(before)) if int(before) > 0 else rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(BATCH_ROWS, before)
+
+
 class Shelf:
     """Tables stored as Parquet in the shared folder while an operator works; gone when it is done."""
 
@@ -63,10 +79,13 @@ class Shelf:
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
 
-    def __exit__(self, *_) -> None:
-        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+    def drop(self, name: str = "") -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}".rstrip("/"))
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
 
+    def __exit__(self, *_) -> None:
+        self.drop()
+
 
 def require(df: DataFrame, *names: str) -> None:
     """Raise ValueError if a column that an operator reads is missing."""

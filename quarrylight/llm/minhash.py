@@ -7,9 +7,10 @@ one document has are dropped before any table is formed.
 
 Documents with equal sets are one node. In each bucket nodes are compared with the bucket's leader, not with
 one another; links are confirmed on the full shingle sets, recomputed from the texts. Buckets that still hold
-several components are then compared with freshly drawn leaders, round after round, until a whole round finds
-no new link. So the work follows the number of documents in buckets and not its square, and no bucket is
-capped.
+several components go on to the next round with freshly drawn leaders. A few quick rounds compare a node with
+a few leaders, which joins most of a large group; then rounds compare nodes with the leaders of all their
+buckets that are of other components, until such a round finds no new link. So the work follows the number
+of documents in buckets and not its square, and no bucket is capped.
 
 With SIDE = 10 and WIDTH = 2 a pair at similarity 0.8 shares no table with probability below 1e-4, and
 shares 41 of the 100 tables on average.
@@ -30,13 +31,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import require, settle
+from .common import Shelf, require, settle, small_batches
 from .components import connected
 from .textsets import chunks, mix, shingle_sets
 
 SIDE, WIDTH = 10, 2
+SLICE = 256
 SHINGLE = 5
 THRESHOLD = (80, 100)
+QUICK_ROUNDS, QUICK_LEADERS = 2, 6
 BROADCAST_NODES = 200_000
 _rng = np.random.default_rng(20240607)
 _MULTIPLIERS = _rng.integers(1, 1 << 63, 2 * SIDE * WIDTH, np.uint64) | np.uint64(1)
@@ -55,7 +58,7 @@ def _half_keys(found: np.ndarray) -> np.ndarray:
 
 def _sketch(shingle: int):
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in (whole.slice(at, SLICE) for whole in batches for at in range(0, whole.num_rows, SLICE)):
             counts, nodes, keys, texts = [], [], [], batch.column(1).to_pylist()
             for _, run in chunks(texts):
                 for found in shingle_sets(run, shingle):
@@ -106,30 +109,41 @@ def _texts(df: DataFrame, text_col: str, keys: DataFrame) -> DataFrame:
     return texts.join(keys, "text_key").groupBy("node").agg(F.first("text").alias("text"))
 
 
-def _round(df: DataFrame, text_col: str, buckets: DataFrame, nodes: DataFrame, tested: DataFrame | None, lead, shingle: int, threshold: tuple[int, int]) -> tuple[DataFrame, DataFrame]:
-    """Compare every node (key, node, label) with its bucket's leaders of other components.
+def _round(shelf: Shelf, df: DataFrame, text_col: str, buckets: DataFrame, labels: DataFrame | None, nodes: DataFrame, tested: DataFrame | None, number: int, most: int | None, shingle: int, threshold: tuple[int, int]) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Compare nodes of buckets (key, node, n) with two leaders of their bucket that are of other components.
 
-    lead: the order of nodes in a bucket. Returns (pairs tested, links), settled.
+    Leaders are the first and last node by a hash that differs from round to round. most: compare a node with
+    so many leaders only, for rounds that others follow. Returns (pairs tested, links, buckets that held more
+    than one component); the buckets are read from the shelf.
     """
     share, whole = threshold
-    order = buckets.withColumn("p", lead)
+    if labels is None:
+        labelled = buckets.withColumn("label", F.col("node"))
+    else:
+        labelled = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    order = labelled.withColumn("p", F.xxhash64("node", "key", F.lit(number)))
     heads = order.groupBy("key").agg(
-        F.min_by("node", "p").alias("first"), F.min_by("label", "p").alias("first_label"),
-        F.max_by("node", "p").alias("last"), F.max_by("label", "p").alias("last_label"),
+        F.min_by("node", "p").alias("first"), F.min_by("label", "p").alias("first_label"), F.min_by("n", "p").alias("first_n"),
+        F.max_by("node", "p").alias("last"), F.max_by("label", "p").alias("last_label"), F.max_by("n", "p").alias("last_n"),
         F.min("label").alias("low"), F.max("label").alias("high"),
     ).filter("low <> high").drop("low", "high")
-    met = buckets.join(heads, "key")
-    heads_of = F.explode(F.array(F.struct(F.col("first").alias("head"), F.col("first_label").alias("head_label")), F.struct(F.col("last").alias("head"), F.col("last_label").alias("head_label"))))
-    pairs = met.select("node", "label", heads_of.alias("h")).filter("label <> h.head_label").select(F.least("node", "h.head").alias("a"), F.greatest("node", "h.head").alias("b")).distinct()
-    size = nodes.select("node", "n")
-    pairs = pairs.join(size.toDF("a", "n_a"), "a").join(size.toDF("b", "n_b"), "b").filter(whole * F.least("n_a", "n_b") >= share * F.greatest("n_a", "n_b")).select("a", "b")
+    met = shelf.put(f"round-{number}", labelled.join(heads, "key"))
+    leaders = [F.struct(*[F.col(f"{end}{c}").alias(f"head{c}") for c in ("", "_label", "_n")]) for end in ("first", "last")]
+    pairs = met.select("node", "label", "n", F.explode(F.array(*leaders)).alias("h"))
+    pairs = pairs.filter((F.col("label") != F.col("h.head_label")) & (whole * F.least("n", "h.head_n") >= share * F.greatest("n", "h.head_n")))
+    pairs = pairs.select(F.least("node", "h.head").alias("a"), F.greatest("node", "h.head").alias("b"), "node").distinct()
     if tested is not None:
         pairs = pairs.join(tested, ["a", "b"], "left_anti")
-    pairs = settle(pairs)
+    if most is not None:
+        some = Window.partitionBy("node").orderBy(F.xxhash64("a", "b", F.lit(number)))  # at most two leaders for each table
+        pairs = pairs.withColumn("k", F.row_number().over(some)).filter(F.col("k") <= most)
+    pairs = settle(pairs.select("a", "b").distinct())
     wanted = settle(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "text_key"), "node"))
     texts = _texts(df, text_col, wanted)
     both = pairs.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a").select("a", "b", "text_a", "text_b")
-    return pairs, settle(both.mapInPandas(_confirm(shingle, threshold), "a long, b long"))
+    with small_batches(df.sparkSession):
+        links = settle(both.mapInPandas(_confirm(shingle, threshold), "a long, b long"))
+    return pairs, links, met.select("key", "node", "n")
 
 
 def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
@@ -137,23 +151,28 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingl
     require(df, id_col, text_col)
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("text_key"))
     kind = df.schema[id_col].dataType.simpleString()
-    rows = settle(rows.mapInArrow(_sketch(shingle), f"id {kind}, text_key long, n long, node long, keys array<long>"))
-    nodes = settle(rows.filter("n > 0").groupBy("node").agg(F.first("n").alias("n"), F.min("text_key").alias("text_key")))
-    halves = rows.filter("n > 0").select("node", F.posexplode("keys").alias("i", "half")).distinct()
+    with small_batches(df.sparkSession):
+        rows = settle(rows.mapInArrow(_sketch(shingle), f"id {kind}, text_key long, n long, node long, keys array<long>"))
+    nodes = settle(rows.filter("n > 0").groupBy("node").agg(F.min("text_key").alias("text_key")))
+    halves = rows.filter("n > 0").select("node", "n", F.posexplode("keys").alias("i", "half")).distinct()
     shared = halves.groupBy("i", "half").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c")
     halves = settle(halves.join(shared, ["i", "half"], "left_semi"))
     first, second = halves.filter(F.col("i") < SIDE), halves.filter(F.col("i") >= SIDE)
-    buckets = first.select("node", F.col("half").alias("x")).join(second.select("node", F.col("half").alias("y")), "node").select(F.xxhash64("x", "y").alias("key"), "node")
-    tested, links = _round(df, text_col, buckets.withColumn("label", F.col("node")), nodes, None, F.col("node"), shingle, threshold)
-    number = 0
-    while True:
-        labels = settle(connected(links))
-        number += 1
-        labelled = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-        more, found = _round(df, text_col, labelled, nodes, tested, F.xxhash64("node", "key", F.lit(number)), shingle, threshold)
-        if found.isEmpty():
-            break
-        tested, links = settle(tested.unionAll(more)), settle(links.unionAll(found))
+    buckets = first.select("node", "n", F.col("half").alias("x")).join(second.select("node", F.col("half").alias("y")), "node").select(F.xxhash64("x", "y").alias("key"), "node", "n")
+    tested = links = labels = None
+    number, found = 0, True
+    with Shelf(df.sparkSession) as shelf:
+        while found or number <= QUICK_ROUNDS:  # quick rounds, then rounds over all leaders until one finds no link
+            most = QUICK_LEADERS if number < QUICK_ROUNDS else None
+            more, new, buckets = _round(shelf, df, text_col, buckets, labels, nodes, tested, number, most, shingle, threshold)
+            if number:
+                shelf.drop(f"round-{number - 1}")
+            found = not new.isEmpty()
+            if found or links is None:
+                links = new if links is None else settle(links.unionAll(new))
+                labels = settle(connected(links))
+            tested = more if tested is None else settle(tested.unionAll(more))
+            number += 1
     out = rows.select("id", "text_key", "n", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = out.groupBy("label").agg(F.min("id").alias("least"))
     out = out.join(least, "label", "left")
