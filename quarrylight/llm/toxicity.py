@@ -30,7 +30,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import require, settle
+from .common import require, settle, small_batches
 
 FOLDS = 5
 MAX_LABELLED = 20_000
@@ -41,7 +41,7 @@ WORD = re.compile(r"[^\W\d_]+")
 STEMS = (4, 5)
 PATTERNS = ("caps", "bangs", "symbols", "repeats")
 N_DENSE = len(PATTERNS) + 3
-FILES_BATCH = 256
+FILES_BATCH = 64
 
 
 def held_out(doc_id: Column) -> Column:
@@ -180,11 +180,13 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     odds = F.log((F.col("toxic") + 0.5) / (n_toxic + 1)) - F.log((F.col("clean") + 0.5) / (n_clean + 1))
     gain = odds * F.sqrt("toxic")
     least = max(2, n_toxic // 500)
-    best = counts.filter((F.col("toxic") >= least) & (odds > 1.0)).orderBy(gain.desc(), "feature").limit(max_voters).collect()
+    with small_batches(docs.sparkSession):
+        best = counts.filter((F.col("toxic") >= least) & (odds > 1.0)).orderBy(gain.desc(), "feature").limit(max_voters).collect()
     voters = [r["feature"] for r in best]
     voters += [w for w in INSULTS if w not in set(voters)]
     model = Model(voters, np.zeros(len(voters) + N_DENSE), 0.0)
-    rows = sample.mapInPandas(_rows(model), "toxic int, fired array<int>, dense array<double>").collect()
+    with small_batches(docs.sparkSession):
+        rows = sample.mapInPandas(_rows(model), "toxic int, fired array<int>, dense array<double>").collect()
     votes, given, dense = np.zeros((len(rows), len(voters)), np.float32), np.array([r["toxic"] for r in rows], float), np.array([r["dense"] for r in rows])
     for i, r in enumerate(rows):
         votes[i, r["fired"]] = 1
