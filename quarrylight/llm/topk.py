@@ -43,7 +43,7 @@ def quantised(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
 
 
 class _Block:
-    """Queries of one length, and for each the bin (low, width) that holds its k-th best score."""
+    """Queries of one length, and for each the scores, low to below high, among which its k-th best is."""
 
     def __init__(self, ids: list[int], vectors: list[list[int]], k: int, most: int):
         self.ids, self.k = np.array(ids, np.int64), k
@@ -52,7 +52,8 @@ class _Block:
         self.kind = np.float64 if reach < 1 << 52 else np.int64  # sums that a double holds exactly
         self.width = max(1, -(-(2 * reach + 1) // BINS))
         self.low = np.full(len(ids), -reach, np.int64)
-        self.above = np.zeros(len(ids), np.int64)  # rows above the bin range
+        self.high = self.low + self.width * BINS
+        self.above = np.zeros(len(ids), np.int64)  # rows at or above high
 
     def scores(self, batches: Iterator[pd.DataFrame]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
         """(ids, scores [query, row]) of the candidates; own rows score below everything."""
@@ -70,7 +71,7 @@ class _Block:
         counts = np.zeros((len(self.ids), BINS), np.int64)
         for _, found in self.scores(batches):
             bins = (found - self.low[:, None]) // self.width
-            q, c = np.nonzero((found >= self.low[:, None]) & (bins < BINS))
+            q, c = np.nonzero((found >= self.low[:, None]) & (found < self.high[:, None]))  # bins may reach past high
             counts += np.bincount(q * BINS + bins[q, c], minlength=counts.size).reshape(counts.shape)
         better = np.cumsum(counts[:, ::-1], 1)[:, ::-1] - counts  # rows in higher bins
         q, b = np.nonzero((counts > 0) & (better < self.k))
@@ -85,6 +86,7 @@ class _Block:
         at = np.where(upper[:, :1] >= self.k, (upper >= self.k).sum(1, keepdims=True) - 1, 0)
         self.above = np.take_along_axis(upper - counts, at, 1)[:, 0]
         self.low = self.low + at[:, 0] * self.width
+        self.high = np.minimum(self.high, self.low + self.width)
 
     def rows(self, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Rows at or above the k-th score; of equal scores the partition's k smallest ids."""

@@ -27,6 +27,16 @@ def test_topk_equals_brute_force(spark):
     assert topk.search(df.filter("vec_id < 2"), df.filter("vec_id = 0"), 10).count() == 1
 
 
+def test_topk_of_many_close_scores(spark):
+    rnd = random.Random(7)
+    base = [rnd.gauss(0, 0.1) for _ in range(64)]
+    rows = [(i, [x + rnd.gauss(0, 0.001) for x in base]) for i in range(300)] + [(1000 + i, [rnd.gauss(0, 0.1) for _ in range(64)]) for i in range(200)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    ids = {i for i, _ in rows if i % 20 == 0}
+    got = {(r.query_id, r["rank"], r.vec_id, r.score) for r in topk.search(df, df.filter("vec_id % 20 = 0"), 10).collect()}
+    assert got == _brute(rows, ids, 10)
+
+
 def test_repeated_vectors_are_candidates_each(spark):
     df = spark.createDataFrame([(0, [1.0]), (0, [1.0]), (1, [0.5]), (1, [0.5]), (2, [0.1])], "vec_id long, embedding array<float>")
     got = topk.search(df, df.filter("vec_id = 0"), 3).orderBy("rank").collect()
