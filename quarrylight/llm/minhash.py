@@ -5,12 +5,14 @@ are computed once; table (i, j) is keyed by the pair of half-key i of the first
 the second, so 2 * SIDE * WIDTH minhashes serve SIDE * SIDE tables of 2 * WIDTH hashes. Half-keys that only
 one document has are dropped before any table is formed.
 
-Documents with equal sets are one node. In each bucket nodes are compared with the bucket's leader, not with
-one another; links are confirmed on the full shingle sets, recomputed from the texts. Buckets that still hold
-several components go on to the next round with freshly drawn leaders. A few quick rounds compare a node with
-a few leaders, which joins most of a large group; then rounds compare nodes with the leaders of all their
-buckets that are of other components, until such a round finds no new link. So the work follows the number
-of documents in buckets and not its square, and no bucket is capped.
+Documents with equal sets are one node. Links are confirmed on the full shingle sets, recomputed from the
+texts. Two quick rounds compare a node with a few leaders of its buckets, which joins most of a large group.
+Then all pairs of different components that still share a bucket are compared, in blocks of bounded size, and
+no bucket is capped: first by sizes and parity sketches, then those left by the full sets. A sketch holds, for
+each cell of a hash, whether an odd number of the set's shingles fall into it; two sketches differ in no more
+cells than the sets differ in shingles, so no pair that links is dropped. Only the comparison of sketches
+grows with the square of the nodes in a bucket that are not joined. Sketches of sets of more than about a
+thousand shingles are full, and drop little.
 
 With SIDE = 10 and WIDTH = 2 a pair at similarity 0.8 shares no table with probability below 1e-4, and
 shares 41 of the 100 tables on average.
@@ -40,11 +42,14 @@ SLICE = 256
 SHINGLE = 5
 THRESHOLD = (80, 100)
 QUICK_ROUNDS, QUICK_LEADERS = 2, 6
+CELLS, FOLDED = 16, 4  # 64-bit words of a sketch, and of its folded form that is compared first
+BLOCK_NODES, SMALL_BUCKET = 4096, 64
 BROADCAST_NODES = 200_000
 _rng = np.random.default_rng(20240607)
 _MULTIPLIERS = _rng.integers(1, 1 << 63, 2 * SIDE * WIDTH, np.uint64) | np.uint64(1)
 _OFFSETS = _rng.integers(0, 1 << 63, 2 * SIDE * WIDTH, np.uint64)
 _SALTS = _rng.integers(0, 1 << 63, 3, np.uint64)
+_CELL_SALT = _rng.integers(0, 1 << 63, 1, np.uint64)
 
 
 def _half_keys(found: np.ndarray) -> np.ndarray:
@@ -56,24 +61,32 @@ def _half_keys(found: np.ndarray) -> np.ndarray:
     return key
 
 
+def _parity(found: np.ndarray) -> bytes:
+    """Whether each cell has an odd number of the set's shingles, as bits."""
+    cells = (mix(found ^ _CELL_SALT) % np.uint64(64 * CELLS)).astype(np.int64)
+    return np.packbits((np.bincount(cells, minlength=64 * CELLS) & 1).astype(np.uint8)).tobytes()
+
+
 def _sketch(shingle: int):
     def sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in (whole.slice(at, SLICE) for whole in batches for at in range(0, whole.num_rows, SLICE)):
-            counts, nodes, keys, texts = [], [], [], batch.column(1).to_pylist()
+            counts, nodes, keys, parities, texts = [], [], [], [], batch.column(1).to_pylist()
             for _, run in chunks(texts):
                 for found in shingle_sets(run, shingle):
                     counts.append(len(found))
                     if not len(found):
                         nodes.append(None)
                         keys.append([])
+                        parities.append(None)
                         continue
                     # Sums over the set under independent mixings, so that equal sets have equal nodes.
                     sums = np.array([mix(found ^ s).sum(dtype=np.uint64) for s in _SALTS], np.uint64)
                     nodes.append(int(mix(mix(sums[:1]) + np.uint64(len(found)) + mix(sums[1:2] ^ sums[2:3])).view(np.int64)[0]))
                     keys.append(_half_keys(found).view(np.int64))
+                    parities.append(_parity(found))
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(counts, pa.int64()), pa.array(nodes, pa.int64()), pa.array(keys, pa.list_(pa.int64()))],
-                names=["id", "text_key", "n", "node", "keys"],
+                [batch.column(0), batch.column(2), pa.array(counts, pa.int64()), pa.array(nodes, pa.int64()), pa.array(keys, pa.list_(pa.int64())), pa.array(parities, pa.binary())],
+                names=["id", "text_key", "n", "node", "keys", "parity"],
             )
 
     return sketch
@@ -138,12 +151,94 @@ def _round(shelf: Shelf, df: DataFrame, text_col: str, buckets: DataFrame, label
         some = Window.partitionBy("node").orderBy(F.xxhash64("a", "b", F.lit(number)))  # at most two leaders for each table
         pairs = pairs.withColumn("k", F.row_number().over(some)).filter(F.col("k") <= most)
     pairs = settle(pairs.select("a", "b").distinct())
+    return pairs, _links(df, text_col, pairs, nodes, shingle, threshold), met.select("key", "node", "n")
+
+
+def _runs(group: np.ndarray, label: np.ndarray) -> Iterator[tuple]:
+    """(rows or one row, later rows) that together give every pair of rows of one group with different labels.
+
+    Groups lie in one piece each, and labels of a group too. In large groups no two rows of the most frequent
+    label are met.
+    """
+    edges = np.concatenate([[0], np.flatnonzero(group[1:] != group[:-1]) + 1, [len(group)]])
+    sizes = np.diff(edges)
+    end = np.repeat(edges[1:], sizes)
+    rows = np.flatnonzero(np.repeat(sizes <= SMALL_BUCKET, sizes))
+    for d in range(1, SMALL_BUCKET):
+        rows = rows[rows + d < end[rows]]
+        if not len(rows):
+            break
+        yield rows, rows + d
+    for at in np.flatnonzero(sizes > SMALL_BUCKET):
+        low, high = edges[at], edges[at + 1]
+        turns = np.concatenate([[low], np.flatnonzero(label[low + 1 : high] != label[low : high - 1]) + low + 1, [high]])
+        k = np.diff(turns).argmax()
+        first, last = turns[k], turns[k + 1]
+        for r in range(low, first):
+            yield r, slice(r + 1, high)
+        for r in range(last, high):
+            yield r, slice(first, last)
+            yield r, slice(r + 1, high)
+
+
+def _near(threshold: tuple[int, int]):
+    """Pairs of one bucket and different components that sizes and sketches do not rule out."""
+    share, whole = threshold
+
+    def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
+        group = (pdf[["key", "low", "high"]] != pdf[["key", "low", "high"]].shift()).any(axis=1).to_numpy().cumsum()
+        node, label, n, side = (pdf[c].to_numpy() for c in ("node", "label", "n", "side"))
+        within = (pdf["low"] == pdf["high"]).to_numpy()
+        words = np.frombuffer(b"".join(pdf["parity"]), np.uint64).reshape(-1, CELLS)
+        folded = np.ascontiguousarray(np.bitwise_xor.reduce(words.reshape(-1, CELLS // FOLDED, FOLDED), 1).T)
+        room = n * (whole - share)
+        out = [np.empty((0, 3), np.int64)]
+        for a, b in _runs(group, label):
+            apart = np.bitwise_count(folded[0][a] ^ folded[0][b]).astype(np.uint16)
+            for f in folded[1:]:
+                apart += np.bitwise_count(f[a] ^ f[b])
+            near = np.flatnonzero((apart * np.int64(whole + share) <= room[a] + room[b]) & (label[a] != label[b]) & (within[a] | (side[a] != side[b])))
+            if len(near):
+                x, y = (np.full(len(near), a), near + b.start) if isinstance(b, slice) else (a[near], b[near])
+                apart = np.bitwise_count(words[x] ^ words[y]).sum(1, dtype=np.int64)
+                good = (apart * (whole + share) <= room[x] + room[y]) & (whole * np.minimum(n[x], n[y]) >= share * np.maximum(n[x], n[y]))
+                out.append(np.stack([np.minimum(node[x], node[y]), np.maximum(node[x], node[y]), apart], 1)[good])
+        return pd.DataFrame(np.unique(np.concatenate(out), axis=0), columns=["a", "b", "apart"])
+
+    def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        rest = None
+        for pdf in batches:
+            pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
+            last = (pdf[["key", "low", "high"]] == pdf[["key", "low", "high"]].iloc[-1]).all(axis=1).to_numpy() if len(pdf) else np.zeros(0, bool)
+            rest = pdf[last].reset_index(drop=True)
+            if not last.all():
+                yield pairs(pdf[~last])
+        if rest is not None and len(rest):
+            yield pairs(rest)
+
+    return near
+
+
+def _candidates(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, threshold: tuple[int, int]) -> DataFrame:
+    """a, b, apart (cells in which the sketches differ) for the pairs of different components that share a bucket."""
+    labelled = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
+    several = labelled.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("label").alias("least"), F.max("label").alias("most")).filter("least <> most")
+    blocks = F.ceil(F.col("c") / BLOCK_NODES).cast("long")
+    rows = labelled.join(several.select("key", blocks.alias("blocks")), "key").withColumn("side", F.pmod(F.xxhash64("node"), "blocks"))
+    rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+    rows = rows.select("key", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "side", "node", "label", "n")
+    rows = rows.join(nodes.select("node", "parity"), "node").select("key", "low", "high", "side", "node", "label", "n", "parity")
+    rows = rows.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "label")
+    return rows.mapInPandas(_near(threshold), "a long, b long, apart long").distinct()
+
+
+def _links(df: DataFrame, text_col: str, pairs: DataFrame, nodes: DataFrame, shingle: int, threshold: tuple[int, int]) -> DataFrame:
+    """The pairs (a, b) that the full sets confirm."""
     wanted = settle(pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "text_key"), "node"))
     texts = _texts(df, text_col, wanted)
     both = pairs.join(texts.toDF("b", "text_b"), "b").join(texts.toDF("a", "text_a"), "a").select("a", "b", "text_a", "text_b")
     with small_batches(df.sparkSession):
-        links = settle(both.mapInPandas(_confirm(shingle, threshold), "a long, b long"))
-    return pairs, links, met.select("key", "node", "n")
+        return settle(both.mapInPandas(_confirm(shingle, threshold), "a long, b long"))
 
 
 def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = SHINGLE, threshold: tuple[int, int] = THRESHOLD) -> DataFrame:
@@ -152,27 +247,34 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingl
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("text_key"))
     kind = df.schema[id_col].dataType.simpleString()
     with small_batches(df.sparkSession):
-        rows = settle(rows.mapInArrow(_sketch(shingle), f"id {kind}, text_key long, n long, node long, keys array<long>"))
-    nodes = settle(rows.filter("n > 0").groupBy("node").agg(F.min("text_key").alias("text_key")))
+        rows = settle(rows.mapInArrow(_sketch(shingle), f"id {kind}, text_key long, n long, node long, keys array<long>, parity binary"))
+    nodes = settle(rows.filter("n > 0").groupBy("node").agg(F.min("text_key").alias("text_key"), F.first("parity").alias("parity")))
     halves = rows.filter("n > 0").select("node", "n", F.posexplode("keys").alias("i", "half")).distinct()
     shared = halves.groupBy("i", "half").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c")
     halves = settle(halves.join(shared, ["i", "half"], "left_semi"))
     first, second = halves.filter(F.col("i") < SIDE), halves.filter(F.col("i") >= SIDE)
     buckets = first.select("node", "n", F.col("half").alias("x")).join(second.select("node", F.col("half").alias("y")), "node").select(F.xxhash64("x", "y").alias("key"), "node", "n")
     tested = links = labels = None
-    number, found = 0, True
     with Shelf(df.sparkSession) as shelf:
-        while found or number <= QUICK_ROUNDS:  # quick rounds, then rounds over all leaders until one finds no link
-            most = QUICK_LEADERS if number < QUICK_ROUNDS else None
-            more, new, buckets = _round(shelf, df, text_col, buckets, labels, nodes, tested, number, most, shingle, threshold)
+        for number in range(QUICK_ROUNDS):
+            more, new, buckets = _round(shelf, df, text_col, buckets, labels, nodes, tested, number, QUICK_LEADERS, shingle, threshold)
             if number:
                 shelf.drop(f"round-{number - 1}")
-            found = not new.isEmpty()
-            if found or links is None:
-                links = new if links is None else settle(links.unionAll(new))
-                labels = settle(connected(links))
+            links = new if links is None else settle(links.unionAll(new))
+            labels = settle(connected(links))
             tested = more if tested is None else settle(tested.unionAll(more))
-            number += 1
+        left = settle(_candidates(buckets, labels, nodes, threshold).join(tested, ["a", "b"], "left_anti"))
+    # The likeliest pairs of each node first; then all pairs that these links have not joined.
+    first = Window.partitionBy("a").orderBy("apart", "b")
+    best = settle(left.withColumn("k", F.row_number().over(first)).filter(F.col("k") <= QUICK_LEADERS).select("a", "b"))
+    links = settle(links.unionAll(_links(df, text_col, best, nodes, shingle, threshold)))
+    labels = settle(connected(links))
+    left = left.select("a", "b").join(best, ["a", "b"], "left_anti")
+    for end in ("a", "b"):
+        left = left.join(labels.toDF(end, f"label_{end}"), end, "left").withColumn(f"label_{end}", F.coalesce(f"label_{end}", end))
+    left = settle(left.filter("label_a <> label_b").select("a", "b"))
+    links = settle(links.unionAll(_links(df, text_col, left, nodes, shingle, threshold)))
+    labels = settle(connected(links))
     out = rows.select("id", "text_key", "n", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = out.groupBy("label").agg(F.min("id").alias("least"))
     out = out.join(least, "label", "left")

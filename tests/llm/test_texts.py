@@ -65,6 +65,35 @@ def test_near_duplicates_equal_brute_force(documents, k):
     assert Counter((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in got) == want
 
 
+@pytest.mark.parametrize("block", [4096, 300])
+def test_rare_links_in_large_groups_below_the_threshold(documents, monkeypatch, block):
+    monkeypatch.setattr(minhash, "BLOCK_NODES", block)
+    rnd, rows, links = random.Random(3), [], []
+    for g in range(4):  # copies are 0.65 similar on average, but two pairs of each group are above 0.8
+        base = [f"g{g}w{i}" for i in range(160)]
+        for i in range(1200):
+            places = [20, 60] if i == 5 else [100, 140] if i == 700 else [20, 60, 100, 140] if i % 300 == 9 else rnd.sample(range(10, 150), 4)
+            copy = list(base)
+            for p in places:
+                copy[p] = f"g{g}i{i}p{p}"
+            rows.append(" ".join(copy))
+    sets = [_shingles(t, 4) for t in rows]
+    up = list(range(len(rows)))
+    for g in range(4):
+        own = range(1200 * g, 1200 * g + 1200)
+        names = {x: k for k, x in enumerate(x for x, c in Counter(x for i in own for x in sets[i]).items() if c > 1)}
+        held = np.zeros((1200, len(names)), np.float32)
+        for i in own:
+            held[i - own[0], [names[x] for x in sets[i] if x in names]] = 1
+        both, n = held @ held.T, np.array([len(sets[i]) for i in own])
+        links += [(own[0] + i, own[0] + j) for i, j in zip(*np.nonzero(100 * both >= 80 * (n[:, None] + n - both)), strict=True) if i < j]
+    for i, j in links * 20:
+        up[i] = up[j] = min(up[i], up[j])
+    assert 4 <= len(links) < 400
+    got = {r.doc_id: r.component_id for r in minhash.groups(documents([doc(i, t) for i, t in enumerate(rows)]), shingle=4).collect()}
+    assert {i: c for i, c in got.items() if up[i] != c} == {}
+
+
 def test_deduplicate_keeps_one_row_each(documents):
     df = documents([doc(1, "a b c d e f"), doc(1, "a b c d e f"), doc(2, "A b c d e f"), doc(3, None), doc(4, ""), doc(5, "")])
     out = minhash.deduplicate(df)
