@@ -38,6 +38,8 @@ MAX_VOTERS = 600
 #: Known insults. Fixed values.
 INSULTS = ("idiot", "moron", "stupid", "scum", "trash", "loser", "clown", "worthless", "disgusting", "pathetic", "dumb", "retard", "bastard", "asshole", "bitch", "whore", "slut", "fuck", "shit", "crap")
 WORD = re.compile(r"[^\W\d_]+")
+NOT_ASCII = re.compile(r"[^\x00-\x7f]+")
+CAPITALS = bytes(range(65, 91))
 STEMS = (4, 5)
 PATTERNS = ("caps", "bangs", "symbols", "repeats")
 N_DENSE = len(PATTERNS) + 3
@@ -48,10 +50,16 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % FOLDS == 0, F.lit(False))
 
 
+def _capitals(text: str) -> int:
+    """Upper-case characters of the whole text; those of ASCII are counted on bytes."""
+    data = text.encode("utf-8", "surrogatepass")
+    return len(data) - len(data.translate(None, CAPITALS)) + sum(map(str.isupper, "".join(NOT_ASCII.findall(text))))
+
+
 def _patterns(text: str, words: list[str]) -> list[bool]:
     n = max(len(text), 1)
     return [
-        sum(map(str.isupper, text[:: max(1, n // 2000)])) > 0.5 * len(text[:: max(1, n // 2000)]),
+        _capitals(text) > 0.5 * len(text),
         text.count("!") > 0.02 * n,
         sum(text.count(c) for c in "#$%&*@") > 0.02 * n,
         len(words) > 20 and len(set(words)) < 0.3 * len(words),

@@ -248,6 +248,11 @@ def test_toxicity_on_held_out_rows(spark, documents):
     assert again.voters == model.voters and np.allclose(again.weights, model.weights)
 
 
+@pytest.mark.parametrize("text,caps", [("Abc" * 2000, False), ("aBC" * 2000, True), ("ÄÖé" * 2000, True), ("Äöü" * 2000, False), ("AB" * 20 + "ab" * 20, False), ("", False)])
+def test_capitals_are_counted_over_whole_texts(text, caps):
+    assert toxicity._patterns(text, [])[0] is caps and toxicity._capitals(text) == sum(map(str.isupper, text))
+
+
 def test_toxicity_without_labels(spark, documents):
     df = documents([doc(1, "you idiot, worthless scum"), doc(2, "a fine day")])
     model = toxicity.train(df, spark.createDataFrame([], "doc_id long, toxic int"))
