@@ -36,7 +36,7 @@ OFTEN = 64
 MOST_LINES = 1 << 14
 BROADCAST_ROWS = 300_000
 _SALTS = np.random.default_rng(20240608).integers(0, 1 << 63, 2, np.uint64)
-LINES = "line int, node long, n int, words array<long>, places array<int>, often boolean"
+LINES = "text_key long, line int, node long, n int, words array<long>, places array<int>, often boolean"
 
 
 def _need(a, b):
@@ -136,10 +136,11 @@ def _rows(batch: pa.RecordBatch, numbers: list, first: int, run: list[bytes], ra
     offsets = pa.array(np.concatenate([[0], np.cumsum(counts)]).astype(np.int32))
     often = np.bincount(of[prefix & (rare >= 8 * np.log2(OFTEN))], minlength=len(run))[has] > 0
     rows = [numbers[first + i] for i in has]
-    ids = batch.column(0).take(pa.array([r[0] for r in rows], pa.int64()))
+    ids, keys = (batch.column(c).take(pa.array([r[0] for r in rows], pa.int64())) for c in (0, 2))
     return pa.RecordBatch.from_arrays(
         [
             ids,
+            keys,
             pa.array([r[1] for r in rows], pa.int32()),
             pa.array(signed[has]),
             pa.array(n[has].astype(np.int32)),
@@ -147,7 +148,7 @@ def _rows(batch: pa.RecordBatch, numbers: list, first: int, run: list[bytes], ra
             pa.ListArray.from_arrays(offsets, pa.array(place[prefix].astype(np.int32))),
             pa.array(often),
         ],
-        names=["id", "line", "node", "n", "words", "places", "often"],
+        names=["id", "text_key", "line", "node", "n", "words", "places", "often"],
     )
 
 
@@ -171,10 +172,10 @@ def _word_set(line: str) -> set[bytes]:
 def _verified(df: DataFrame, id_col: str, text_col: str, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
     """Pairs (a, b) confirmed on the first lines that have them, as (a, b) with first, later."""
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct().join(nodes.select("node", "at"), "node")
-    by_doc = settle(wanted.groupBy(F.col("at.id").alias("id")).agg(F.collect_list(F.struct(F.col("at.line").alias("line"), "node")).alias("wanted")))
+    by_doc = settle(wanted.groupBy(F.col("at.id").alias("of"), F.col("at.text_key").alias("of_text")).agg(F.collect_list(F.struct(F.col("at.line").alias("line"), "node")).alias("wanted")))
     by_doc = F.broadcast(by_doc) if wanted_rows(by_doc) <= BROADCAST_ROWS else by_doc
-    docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")).filter(F.col("text").isNotNull())
-    docs = docs.join(by_doc.withColumnRenamed("id", "of"), F.col("id").eqNullSafe(F.col("of")))
+    docs = df.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.xxhash64(F.col(text_col)).alias("text_key")).filter(F.col("text").isNotNull())
+    docs = docs.join(by_doc, F.col("id").eqNullSafe(F.col("of")) & (F.col("text_key") == F.col("of_text")))
     lines = docs.select(F.split("text", "\n").alias("l"), F.explode("wanted").alias("w")).select(F.col("w.node").alias("node"), F.get("l", F.col("w.line")).alias("text"))
     lines = lines.groupBy("node").agg(F.max("text").alias("text"))
     both = pairs.select("a", "b").join(lines.toDF("a", "x"), "a").join(lines.toDF("b", "y"), "b").select("a", "b", "x", "y")
@@ -194,7 +195,7 @@ def _later(links: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def _before(a, b):
     """Order of first lines; null ids last."""
-    key = lambda x: F.struct(x["id"].isNull(), x["id"], x["line"])
+    key = lambda x: F.struct(x["id"].isNull(), x["id"], x["line"], x["text_key"])
     return key(a) < key(b)
 
 
@@ -204,8 +205,8 @@ def removed_lines(df: DataFrame, shelf: Shelf, id_col: str = "doc_id", text_col:
     kind = df.schema[id_col].dataType.simpleString()
     context = df.sparkSession.sparkContext
     order = context.broadcast(rarity(df, text_col))  # CELLS bytes, whatever the table
-    lines = shelf.put("lines", df.select(F.col(id_col), F.col(text_col)).mapInArrow(_lines(order), f"id {kind}, {LINES}"))
-    first = F.min(F.struct(F.col("id").isNull().alias("last"), F.col("id"), F.col("line")))
+    lines = shelf.put("lines", df.select(F.col(id_col), F.col(text_col), F.xxhash64(F.col(text_col)).alias("text_key")).mapInArrow(_lines(order), f"id {kind}, {LINES}"))
+    first = F.min(F.struct(F.col("id").isNull().alias("last"), F.col("id"), F.col("line"), F.col("text_key")))  # rows that share an id are told apart by their texts
     once = lines.groupBy("node").agg(first.alias("at"), F.max("n").alias("n"), F.max(F.when(F.size("words") > 0, F.struct("words", "places", "often"))).alias("p"))
     nodes = shelf.put("nodes", once.select("node", "at", "n", "p.words", "p.places", "p.often"))
     rows = nodes.filter(F.size("words") > 0).select("node", "n", "often", F.explode(F.arrays_zip("words", "places")).alias("w")).select("node", "n", "often", F.col("w.words").alias("word"), F.col("w.places").alias("place"))

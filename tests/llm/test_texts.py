@@ -215,6 +215,13 @@ def test_line_dedup_equals_brute_force(documents, monkeypatch, often):
     assert line_dedup.report(documents([])).count() == 0
 
 
+def test_line_dedup_of_rows_that_share_an_id(documents):
+    line = " ".join(f"a{i}" for i in range(20))
+    rows = [doc(1, line), doc(1, "zz other words"), doc(2, line + " end"), doc(None, "b1 b2 b3 b4 b5 b6"), doc(None, "zz more\nx\nb1 b2 b3 b4 b5 b6 b7")]
+    got = {r.doc_id: (r.n_lines, r.n_same, r.n_near, r.removed) for r in line_dedup.report(documents(rows)).collect()}
+    assert got == {1: (2, 0, 0, ""), 2: (1, 0, 1, "0"), None: (4, 0, 1, "2")}
+
+
 def _toxic_docs(n=900):
     rnd = random.Random(9)
     rows, labels = [], []
