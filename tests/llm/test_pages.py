@@ -54,6 +54,11 @@ def test_extract_cases(html, text):
     assert html_extract.extract(html) == text
 
 
+def test_text_of_formulas_and_fallbacks_is_kept():
+    page = "<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> hold</p><object data='a'><param name='n'>no plugin</object><noscript><p>plain form</p></noscript><p><svg><title>t</title><path d='M0'/><text>label</text></svg></p><canvas>chart</canvas><script>var s</script><template>t</template></article>"
+    assert html_extract.extract(page) == "Let x=2 hold\nno plugin\nplain form\nlabel\nchart"
+
+
 def test_style_tree_cuts_what_all_pages_say(spark):
     rows = [(i, f"http://h.de/{i}", f"<body><div class='zq1'><span>Shop the best deals</span></div><div class='k9'><p>Story number {i} with its own words</p></div>") for i in range(20)]
     rows += [(100, "http://h.de/copy", rows[0][2]), (101, None, "<p>alone"), (102, "http://few.de/", rows[3][2]), (103, "http://h.de/x", None)]
