@@ -30,7 +30,7 @@ from .common import lower_ascii, require, settle
 #: Words, between separators of a url, that mark a site as junk. Fixed values.
 BAD_WORDS = ("casino", "poker", "bets", "betting", "adult", "porn", "xxx", "sex", "escort", "viagra", "cialis", "spam", "warez", "payday", "loans", "lottery", "slots")
 JUNK = rf"(?i)(?:^|[^a-z])(?:{'|'.join(BAD_WORDS)})(?:[^a-z]|$)"
-DEPTH = 4
+DEPTH = 4  # levels between two stored tables; the SQL for comparison stops here
 MANY_CHILDREN = 64
 SMOOTHING = 4.0
 REJECT = 0.6
@@ -73,10 +73,9 @@ ID_SEGMENT = r"(?i)^[0-9a-f{}n-]{8,}(?:\.[^.]*)?$"
 
 
 def segments(path: Column) -> Column:
-    """The first DEPTH segments with obvious variables as wildcards; deeper ones as one."""
+    """The segments with obvious variables as wildcards."""
     parts = F.filter(F.split(F.regexp_replace(path, "[0-9]+", "{n}"), "/"), lambda x: x != "")
-    parts = F.transform(parts, lambda x: F.when(F.contains(x, F.lit("{n}")) & x.rlike(ID_SEGMENT), F.concat(F.lit("{id}"), F.regexp_extract(x, r"\.[^.]*$", 0))).otherwise(x))
-    return F.when(F.size(parts) > DEPTH, F.concat(F.slice(parts, 1, DEPTH), F.array(F.lit("**")))).otherwise(parts)
+    return F.transform(parts, lambda x: F.when(F.contains(x, F.lit("{n}")) & x.rlike(ID_SEGMENT), F.concat(F.lit("{id}"), F.regexp_extract(x, r"\.[^.]*$", 0))).otherwise(x))
 
 
 def _level(nodes: DataFrame, k: int) -> DataFrame:
@@ -92,8 +91,11 @@ def _level(nodes: DataFrame, k: int) -> DataFrame:
 def template_purity(counted: DataFrame) -> DataFrame:
     """host, shape, purity for counted templates (host, shape: segments as found, n, good, bad)."""
     nodes = counted.withColumn("segments", F.col("shape"))
-    for k in range(DEPTH):
+    deepest = counted.agg(F.max(F.size("shape"))).first()[0] or 0
+    for k in range(deepest):
         nodes = _level(nodes, k)
+        if k % DEPTH == DEPTH - 1:
+            nodes = settle(nodes)  # plans stay short, however deep a path is
     tree = nodes.groupBy("host", "segments").agg(*[F.sum(c).alias(c) for c in ("good", "bad")])
     whole = counted.agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).first()
     labels = (whole["bad"] or 0) + (whole["good"] or 0)

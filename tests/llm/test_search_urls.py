@@ -75,3 +75,12 @@ def test_templates_reject_junk_sites_and_generalise(spark):
     assert {r.verdict for r in got if "good" in r.host} == {"allow"}
     assert {r.template for r in got if "wide" in r.host} == {"u/*/x"}
     assert {r.template for r in got if "good" in r.host} == {"en/{n}.html"}
+
+
+def test_templates_of_deep_paths_are_told_apart(spark):
+    rows = [f"http://deep.example.info/a/b/c/d/e/{kind}/{i}" for i in range(30) for kind in ("casino", "news")]
+    rows += [f"http://wide.example.info/a/b/c/d/e/name{chr(97 + i % 26)}{chr(97 + i // 26)}/x" for i in range(200)]
+    df = spark.createDataFrame(list(enumerate(rows)), "page_id long, url string")
+    got = url_filter.judge(df).collect()
+    assert {(r.template, r.verdict) for r in got if "deep" in r.host} == {("a/b/c/d/e/casino/{n}", "block"), ("a/b/c/d/e/news/{n}", "allow")}
+    assert {r.template for r in got if "wide" in r.host} == {"a/b/c/d/e/*/x"}
