@@ -3,9 +3,10 @@
 Native DataFrame expressions only. Every url becomes a template: its host and the segments of its path,
 in which numbers, dates, hex ids and uuids are wildcards from the start. Templates are counted with the
 labels that their urls have; levels of the tree are the host and the first, second, ... segment. A segment
-under a parent with many different children is generalised into a wildcard too. Branches that have the same
-parent and whose share of bad labels does not differ significantly from the parent's are merged with it;
-the others keep their own counts. A template is rejected if its purity, the share of bad labels smoothed
+under a parent with many different children is generalised into a wildcard too. Whole templates that have the
+same parent and whose share of bad labels does not differ significantly from their siblings' are merged with
+them; the others keep their own counts. Inner levels are not merged, and templates without labels are allowed.
+A template is rejected if its purity, the share of bad labels smoothed
 toward the share over all labelled urls, reaches a threshold.
 
 Labels come from the rules (block: bad, allow: good) and from a list of host and path words that mark
@@ -100,7 +101,7 @@ def template_purity(counted: DataFrame) -> DataFrame:
     whole = counted.agg(F.sum("bad").alias("bad"), F.sum("good").alias("good")).first()
     labels = (whole["bad"] or 0) + (whole["good"] or 0)
     prior = whole["bad"] / labels if labels else 0.0
-    # From the leaves up: a branch that does not differ from its siblings takes their counts.
+    # One level: a template that does not differ from its siblings takes their counts.
     joined = tree.withColumn("parent", F.slice("segments", 1, F.greatest(F.size("segments") - 1, F.lit(0))))
     siblings = joined.groupBy("host", "parent").agg(F.sum("good").alias("s_good"), F.sum("bad").alias("s_bad"))
     joined = joined.join(siblings, ["host", "parent"])
