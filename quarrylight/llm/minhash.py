@@ -44,6 +44,7 @@ THRESHOLD = (80, 100)
 QUICK_ROUNDS, QUICK_LEADERS = 2, 6
 CELLS, FOLDED = 16, 4  # 64-bit words of a sketch, and of its folded form that is compared first
 BLOCK_NODES, SMALL_BUCKET = 4096, 64
+MOST_HELD = 1 << 17
 BROADCAST_NODES = 200_000
 _rng = np.random.default_rng(20240607)
 _MULTIPLIERS = _rng.integers(1, 1 << 63, 2 * SIDE * WIDTH, np.uint64) | np.uint64(1)
@@ -185,14 +186,17 @@ def _near(threshold: tuple[int, int]):
     """Pairs of one bucket and different components that sizes and sketches do not rule out."""
     share, whole = threshold
 
-    def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
+    def frame(out: list) -> pd.DataFrame:
+        return pd.DataFrame(np.unique(np.concatenate(out), axis=0), columns=["a", "b", "apart"])
+
+    def pairs(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
         group = (pdf[["key", "low", "high"]] != pdf[["key", "low", "high"]].shift()).any(axis=1).to_numpy().cumsum()
         node, label, n, side = (pdf[c].to_numpy() for c in ("node", "label", "n", "side"))
         within = (pdf["low"] == pdf["high"]).to_numpy()
         words = np.frombuffer(b"".join(pdf["parity"]), np.uint64).reshape(-1, CELLS)
         folded = np.ascontiguousarray(np.bitwise_xor.reduce(words.reshape(-1, CELLS // FOLDED, FOLDED), 1).T)
         room = n * (whole - share)
-        out = [np.empty((0, 3), np.int64)]
+        out, held = [np.empty((0, 3), np.int64)], 0
         for a, b in _runs(group, label):
             apart = np.bitwise_count(folded[0][a] ^ folded[0][b]).astype(np.uint16)
             for f in folded[1:]:
@@ -203,7 +207,11 @@ def _near(threshold: tuple[int, int]):
                 apart = np.bitwise_count(words[x] ^ words[y]).sum(1, dtype=np.int64)
                 good = (apart * (whole + share) <= room[x] + room[y]) & (whole * np.minimum(n[x], n[y]) >= share * np.maximum(n[x], n[y]))
                 out.append(np.stack([np.minimum(node[x], node[y]), np.maximum(node[x], node[y]), apart], 1)[good])
-        return pd.DataFrame(np.unique(np.concatenate(out), axis=0), columns=["a", "b", "apart"])
+                held += len(out[-1])
+                if held > MOST_HELD:  # memory stays bounded, however many pairs are near
+                    yield frame(out)
+                    out, held = out[:1], 0
+        yield frame(out)
 
     def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
@@ -212,9 +220,9 @@ def _near(threshold: tuple[int, int]):
             last = (pdf[["key", "low", "high"]] == pdf[["key", "low", "high"]].iloc[-1]).all(axis=1).to_numpy() if len(pdf) else np.zeros(0, bool)
             rest = pdf[last].reset_index(drop=True)
             if not last.all():
-                yield pairs(pdf[~last])
+                yield from pairs(pdf[~last])
         if rest is not None and len(rest):
-            yield pairs(rest)
+            yield from pairs(rest)
 
     return near
 
