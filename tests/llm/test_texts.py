@@ -194,9 +194,12 @@ def _lines_removed(rows):
     return out
 
 
-@pytest.mark.parametrize("often", [64, 2])
-def test_line_dedup_equals_brute_force(documents, monkeypatch, often):
-    monkeypatch.setattr(line_dedup, "OFTEN", often)
+@pytest.mark.parametrize(("block", "few"), [(4096, 300_000), (4096, 0), (8, 0)])
+def test_line_dedup_equals_brute_force(documents, monkeypatch, block, few):
+    monkeypatch.setattr(line_dedup, "BLOCK", block)
+    monkeypatch.setattr(line_dedup, "BROADCAST_ROWS", few)
+    monkeypatch.setattr(line_dedup, "MORE_PARTNERS", 2 if block == 8 else 16)
+    monkeypatch.setattr(line_dedup, "BUCKET_ROWS", 100)
     rnd = random.Random(6)
     lines = [" ".join(_words(rnd, rnd.randrange(1, 30), 300)) for _ in range(80)] + ["", "  ", "the", "The the"]
     for _ in range(120):
