@@ -4,7 +4,7 @@ Many voters - words and word stems that are over-represented in toxic training d
 known insults, and patterns of shouting and punctuation - vote on every document. A generative label
 model, fitted by expectation maximisation on a bounded sample of the labelled training rows, estimates for
 each voter how often it fires on toxic and on clean documents, and how strongly voters are correlated
-inside a class; correlated voters share their evidence. The given label is one more voter whose accuracy is
+inside a class, both anew in every step; correlated voters share their evidence. The given label is one more voter whose accuracy is
 estimated with the rest. A linear (logistic) classifier is then trained on the model's posterior labels and
 scores all documents in one pass.
 
@@ -44,6 +44,7 @@ STEMS = (4, 5)
 PATTERNS = ("caps", "bangs", "symbols", "repeats")
 N_DENSE = len(PATTERNS) + 3
 FILES_BATCH = 64
+BLOCK = 2048
 
 
 def held_out(doc_id: Column) -> Column:
@@ -120,51 +121,72 @@ class Model:
 def _rows(model: Model):
     def vote(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            found = [model.votes(t or "") for t in pdf["text"]]
-            yield pd.DataFrame({"toxic": pdf["toxic"], "fired": [sorted(f) for f, _ in found], "dense": [d.tolist() for _, d in found]})
+            votes, dense = np.zeros((len(pdf), len(model.voters)), np.uint8), []
+            for i, text in enumerate(pdf["text"]):
+                fired, d = model.votes(text or "")
+                votes[i, list(fired)] = 1
+                dense.append(d.tolist())
+            yield pd.DataFrame({"toxic": pdf["toxic"], "fired": [row.tobytes() for row in np.packbits(votes, axis=1)], "dense": dense})
 
     return vote
 
 
+def _blocks(votes: np.ndarray, dense: np.ndarray | None = None) -> Iterator[tuple[slice, np.ndarray]]:
+    """Rows of votes, and of dense columns beside them, as floats: a block at a time, so that no whole matrix of floats is held."""
+    for at in range(0, len(votes), BLOCK):
+        part = slice(at, at + BLOCK)
+        block = votes[part].astype(np.float32)
+        yield part, block if dense is None else np.hstack([block, dense[part].astype(np.float32)])
+
+
 def label_model(votes: np.ndarray, given: np.ndarray, rounds: int = 25) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Posterior probability of toxic for each row; rates of firing by class [2, voter]; shares of evidence.
 
-    votes: [row, voter] of 0 and 1. given: labels, one more voter with estimated accuracy.
+    votes: [row, voter] of 0 and 1. given: labels, one more voter with estimated accuracy. Every step estimates
+    rates and correlations anew from the posterior of the step before.
     """
     posterior = 0.02 + 0.96 * given
-    share = np.ones(votes.shape[1])
-    for step in range(rounds):
+    together = sum((b.T @ b for _, b in _blocks(votes)), np.zeros((votes.shape[1],) * 2))
+    for _ in range(rounds):
         classes = np.stack([1 - posterior, posterior])
         mass = classes.sum(1, keepdims=True)
-        fires = (classes @ votes + 0.5) / (mass + 1)
-        told = (classes @ given[:, None] + 0.5) / (mass + 1)
-        if step == 0 and votes.shape[1]:  # correlation of voters inside the classes, weighted by class
-            size = 0
-            for c in (0, 1):
-                centred = (votes - fires[c]) * np.sqrt(classes[c])[:, None]
-                spread = np.sqrt((centred**2).sum(0)) + 1e-9
-                size = size + (mass[c] / len(given)) * np.abs((centred.T @ centred) / spread[:, None] / spread)
-            share = 1 / np.maximum(1.0, np.where(size > 0.2, size, 0).sum(1))
+        sums, toxic_together = np.zeros((2, votes.shape[1])), np.zeros_like(together)
+        for part, b in _blocks(votes):
+            sums += classes[:, part] @ b
+            toxic_together += b.T @ (b * posterior[part, None].astype(np.float32))
+        fires, told = (sums + 0.5) / (mass + 1), (classes @ given[:, None] + 0.5) / (mass + 1)
+        size = np.zeros_like(together)
+        for c, pairs in enumerate((together - toxic_together, toxic_together)):  # correlation of voters inside the classes, weighted by class
+            shared = pairs - np.outer(fires[c], sums[c]) - np.outer(sums[c], fires[c]) + mass[c] * np.outer(fires[c], fires[c])
+            spread = np.sqrt(np.maximum(np.diag(shared), 0)) + 1e-9
+            size += (mass[c] / len(given)) * np.abs(shared / spread[:, None] / spread)
+        share = 1 / np.maximum(1.0, np.where(size > 0.2, size, 0).sum(1))
         evidence = np.log(fires[1] / fires[0]) * share
         absent = np.log((1 - fires[1]) / (1 - fires[0])) * share
-        z = math.log(mass[1, 0] / mass[0, 0]) + votes @ (evidence - absent) + absent.sum()
+        z = np.full(len(given), math.log(mass[1, 0] / mass[0, 0]) + absent.sum())
+        for part, b in _blocks(votes):
+            z[part] += b @ (evidence - absent)
         z = z + np.where(given == 1, math.log(told[1, 0] / told[0, 0]), math.log((1 - told[1, 0]) / (1 - told[0, 0])))
         new = 1 / (1 + np.exp(-np.clip(z, -30, 30)))
-        if np.abs(new - posterior).max() < 1e-4:
-            break
+        moved = np.abs(new - posterior).max()
         posterior = new
+        if moved < 1e-3:
+            break
     return posterior, fires, share
 
 
-def fit_linear(x: np.ndarray, target: np.ndarray, l2: float = 1.0, rounds: int = 30) -> tuple[np.ndarray, float]:
-    """Logistic regression on soft targets by damped Newton steps."""
-    x1 = np.hstack([x, np.ones((len(x), 1))])
-    w, penalty = np.zeros(x1.shape[1]), np.full(x1.shape[1], l2)
+def fit_linear(votes: np.ndarray, dense: np.ndarray, target: np.ndarray, l2: float = 1.0, rounds: int = 30) -> tuple[np.ndarray, float]:
+    """Logistic regression on soft targets by damped Newton steps; a row is its votes and its dense columns."""
+    dense = np.hstack([dense, np.ones((len(dense), 1))])
+    w = np.zeros(votes.shape[1] + dense.shape[1])
+    penalty = np.full(len(w), l2)
     penalty[-1] = 1e-3
     for _ in range(rounds):
-        p = 1 / (1 + np.exp(-np.clip(x1 @ w, -30, 30)))
-        gradient = x1.T @ (p - target) + penalty * w
-        curve = (x1 * np.maximum(p * (1 - p), 1e-4)[:, None]).T @ x1 + np.diag(penalty)
+        gradient, curve = penalty * w, np.diag(penalty)
+        for part, b in _blocks(votes, dense):
+            p = 1 / (1 + np.exp(-np.clip(b @ w, -30, 30)))
+            gradient = gradient + b.T @ (p - target[part])
+            curve += b.T @ (b * np.maximum(p * (1 - p), 1e-4)[:, None].astype(np.float32))
         step = np.linalg.solve(curve, gradient)
         w -= step
         if np.abs(step).max() < 1e-4:
@@ -194,13 +216,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     voters += [w for w in INSULTS if w not in set(voters)]
     model = Model(voters, np.zeros(len(voters) + N_DENSE), 0.0)
     with small_batches(docs.sparkSession):
-        rows = sample.mapInPandas(_rows(model), "toxic int, fired array<int>, dense array<double>").collect()
-    votes, given, dense = np.zeros((len(rows), len(voters)), np.float32), np.array([r["toxic"] for r in rows], float), np.array([r["dense"] for r in rows])
-    for i, r in enumerate(rows):
-        votes[i, r["fired"]] = 1
-    voting = np.hstack([votes, dense[:, : len(PATTERNS)]]).astype(np.float64)
-    posterior, _, _ = label_model(voting, given)
-    weights, bias = fit_linear(np.hstack([votes, dense]), posterior)
+        rows = sample.mapInPandas(_rows(model), "toxic int, fired binary, dense array<double>").collect()  # a bit for each voter
+    votes = np.unpackbits(np.frombuffer(b"".join(r["fired"] for r in rows), np.uint8).reshape(len(rows), -1), axis=1, count=len(voters))
+    given, dense = np.array([r["toxic"] for r in rows], float), np.array([r["dense"] for r in rows])
+    posterior, _, _ = label_model(np.hstack([votes, dense[:, : len(PATTERNS)].astype(np.uint8)]), given)
+    weights, bias = fit_linear(votes, dense, posterior)
     return Model(voters, weights, bias)
 
 

@@ -263,6 +263,34 @@ def test_capitals_are_counted_over_whole_texts(text, caps):
     assert toxicity._patterns(text, [])[0] is caps and toxicity._capitals(text) == sum(map(str.isupper, text))
 
 
+def test_label_model_equals_plain_steps(monkeypatch):
+    """The same steps on whole matrices, in double precision."""
+    monkeypatch.setattr(toxicity, "BLOCK", 7)
+    rnd = np.random.default_rng(3)
+    truth = rnd.random(300) < 0.3
+    votes = (rnd.random((300, 6)) < np.where(truth[:, None], 0.7, 0.1)).astype(np.uint8)
+    votes[:, 1] = votes[:, 0]  # two voters that always agree share their evidence
+    given = (truth ^ (rnd.random(300) < 0.05)).astype(float)
+    posterior, fires, share = toxicity.label_model(votes, given, rounds=4)
+    p, v = 0.02 + 0.96 * given, votes.astype(float)
+    for _ in range(4):
+        by = np.stack([1 - p, p])
+        mass = by.sum(1)
+        rate, told = (by @ v + 0.5) / (mass + 1)[:, None], (by @ given + 0.5) / (mass + 1)
+        size = np.zeros((6, 6))
+        for c in (0, 1):
+            centred = (v - rate[c]) * np.sqrt(by[c])[:, None]
+            spread = np.sqrt((centred**2).sum(0)) + 1e-9
+            size += mass[c] / 300 * np.abs(centred.T @ centred / np.outer(spread, spread))
+        part = 1 / np.maximum(1, np.where(size > 0.2, size, 0).sum(1))
+        odds = [sum(part[j] * np.log((rate[1][j] if x[j] else 1 - rate[1][j]) / (rate[0][j] if x[j] else 1 - rate[0][j])) for j in range(6)) + np.log(mass[1] / mass[0]) + np.log((told[1] if g else 1 - told[1]) / (told[0] if g else 1 - told[0])) for x, g in zip(v, given)]
+        p = 1 / (1 + np.exp(-np.array(odds)))
+    assert np.allclose(p, posterior, atol=1e-3) and np.allclose(rate, fires, atol=1e-3) and np.allclose(part, share, atol=1e-3)
+    assert share[0] <= 0.5 + 1e-6 and ((posterior > 0.5) == truth).mean() > 0.95
+    weights, bias = toxicity.fit_linear(votes, np.zeros((300, 1)), posterior)
+    assert (((votes @ weights[:6] + bias) > 0) == (posterior > 0.5)).mean() > 0.9
+
+
 def test_toxicity_without_labels(spark, documents):
     df = documents([doc(1, "you idiot, worthless scum"), doc(2, "a fine day")])
     model = toxicity.train(df, spark.createDataFrame([], "doc_id long, toxic int"))
