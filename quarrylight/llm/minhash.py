@@ -7,15 +7,18 @@ one document has are dropped before any table is formed.
 
 Documents with equal sets are one node. Links are confirmed on the full shingle sets, recomputed from the
 texts. Two quick rounds compare a node with a few leaders of its buckets, which joins most of a large group.
-Then all pairs of different components that still share a bucket are compared, in blocks of bounded size, and
-no bucket is capped: first by sizes and parity sketches, then those left by the full sets. A sketch holds, for
-each cell of a hash, whether an odd number of the set's shingles fall into it; two sketches differ in no more
-cells than the sets differ in shingles, so no pair that links is dropped. Only the comparison of sketches
-grows with the square of the nodes in a bucket that are not joined. Sketches of sets of more than about a
-thousand shingles are full, and drop little.
-
-With SIDE = 10 and WIDTH = 2 a pair at similarity 0.8 shares no table with probability below 1e-4, and
-shares 41 of the 100 tables on average.
+Then nodes of different components that still share a bucket meet in blocks of bounded size, by sizes and
+parity sketches. A sketch holds, for each cell of a hash, whether an odd number of the set's shingles fall into
+it; two sketches differ in no more cells than the sets differ in shingles, and hardly ever in many more than
+sets at the threshold are expected to (LIMITS; a link is ruled out with probability below 1e-9). Of the partners
+that are left, each node of a smaller component hands on its likeliest ones; what the full sets confirm joins
+components; buckets that had more pairs meet again and hand on eight times as many, until no bucket has an
+untested pair of different components. So no bucket is capped, and pairs inside a component are not listed.
+Only the comparison of sketches grows with the square of the nodes in a bucket that are not joined.
+
+With SIDE = 12 and WIDTH = 3 a pair at similarity 0.8 shares no table with probability below 4e-4 (at 0.85:
+3e-5), and shares 38 of the 144 tables on average; two documents at 0.2 share one with probability 0.9 percent,
+so that buckets grow little faster than the documents.
 
 Defined cases: null texts and texts without words have no shingles and link with nothing; fewer words than a
 shingle are one shingle; null ids take part and are never the smallest of a component that has another;
@@ -37,13 +40,14 @@ from .common import Shelf, require, settle, small_batches
 from .components import connected
 from .textsets import chunks, mix, shingle_sets
 
-SIDE, WIDTH = 10, 2
-SLICE = 256
+SIDE, WIDTH = 12, 3
+SLICE, AT_ONCE = 256, 256
 SHINGLE = 5
 THRESHOLD = (80, 100)
 QUICK_ROUNDS, QUICK_LEADERS = 2, 6
 CELLS, FOLDED = 16, 4  # 64-bit words of a sketch, and of its folded form that is compared first
-BLOCK_NODES, SMALL_BUCKET = 4096, 64
+BLOCK_NODES, SMALL_BUCKET = 2048, 64
+FIRST_PARTNERS, MORE_PARTNERS = 2, 8
 MOST_HELD = 1 << 17
 BROADCAST_NODES = 200_000
 _rng = np.random.default_rng(20240607)
@@ -53,9 +57,22 @@ _SALTS = _rng.integers(0, 1 << 63, 3, np.uint64)
 _CELL_SALT = _rng.integers(0, 1 << 63, 1, np.uint64)
 
 
+def _limits(cells: int) -> np.ndarray:
+    """For each number of shingles in which sets differ, the most cells in which sketches do: six deviations over the mean."""
+    d = np.arange(1 << 14)
+    share = (1 - (1 - 2 / cells) ** d) / 2
+    return np.minimum(d, np.ceil(cells * share + 6 * np.sqrt(cells * share * (1 - share)) + 1)).astype(np.int64)
+
+
+LIMITS, FOLDED_LIMITS = _limits(64 * CELLS), _limits(64 * FOLDED)
+
+
 def _half_keys(found: np.ndarray) -> np.ndarray:
     """SIDE half-keys of the first collection, then of the second."""
-    least = np.array([(found * a + b).min() for a, b in zip(_MULTIPLIERS, _OFFSETS, strict=True)], np.uint64).reshape(2 * SIDE, WIDTH)
+    least = np.full(len(_OFFSETS), np.iinfo(np.uint64).max, np.uint64)
+    for at in range(0, len(found), AT_ONCE):
+        np.minimum(least, (found[at : at + AT_ONCE, None] * _MULTIPLIERS + _OFFSETS).min(0), out=least)
+    least = least.reshape(2 * SIDE, WIDTH)
     key = np.arange(2 * SIDE, dtype=np.uint64)
     for j in range(WIDTH):
         key = mix(key * np.uint64(0x2545F4914F6CDD1D) + least[:, j])
@@ -182,62 +199,79 @@ def _runs(group: np.ndarray, label: np.ndarray) -> Iterator[tuple]:
             yield r, slice(r + 1, high)
 
 
-def _near(threshold: tuple[int, int]):
-    """Pairs of one bucket and different components that sizes and sketches do not rule out."""
-    share, whole = threshold
-
-    def frame(out: list) -> pd.DataFrame:
-        return pd.DataFrame(np.unique(np.concatenate(out), axis=0), columns=["a", "b", "apart"])
+def _near(threshold: tuple[int, int], keep: int):
+    """key, a, b, more: pairs of one bucket and different components that sizes and sketches do not rule out.
 
-    def pairs(pdf: pd.DataFrame) -> Iterator[pd.DataFrame]:
-        group = (pdf[["key", "low", "high"]] != pdf[["key", "low", "high"]].shift()).any(axis=1).to_numpy().cumsum()
-        node, label, n, side = (pdf[c].to_numpy() for c in ("node", "label", "n", "side"))
-        within = (pdf["low"] == pdf["high"]).to_numpy()
+    A node of the component that has fewer nodes here hands on its `keep` likeliest partners; more: there are others.
+    """
+    share, whole = threshold
+    group = ["key", "low", "high"]
+
+    def likeliest(found: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Of rows (asking, other, apart, more) the first `keep` of each asking node."""
+        found = found[:, np.lexsort((found[1], found[2], found[0]))]
+        new = np.flatnonzero(np.diff(found[0], prepend=-1))
+        count = np.diff(np.append(new, found.shape[1]))
+        found[3] |= np.repeat(count > keep, count)
+        return found[:, np.arange(found.shape[1]) - np.repeat(new, count) < keep]
+
+    def pairs(pdf: pd.DataFrame) -> pd.DataFrame:
+        key, low, high, side, node, label, n = (pdf[c].to_numpy() for c in (*group, "side", "node", "label", "n"))
+        turn = lambda *cs: np.concatenate([[True], np.logical_or.reduce([c[1:] != c[:-1] for c in cs])]).cumsum()
+        of, within = turn(key, low, high), low == high
+        part = turn(key, low, high, label) - 1  # components lie in one piece each
+        members = np.bincount(part)[part]
         words = np.frombuffer(b"".join(pdf["parity"]), np.uint64).reshape(-1, CELLS)
         folded = np.ascontiguousarray(np.bitwise_xor.reduce(words.reshape(-1, CELLS // FOLDED, FOLDED), 1).T)
         room = n * (whole - share)
-        out, held = [np.empty((0, 3), np.int64)], 0
-        for a, b in _runs(group, label):
+        out, held, most = [np.empty((4, 0), np.int64)], 0, MOST_HELD
+        for a, b in _runs(of, label):
             apart = np.bitwise_count(folded[0][a] ^ folded[0][b]).astype(np.uint16)
             for f in folded[1:]:
                 apart += np.bitwise_count(f[a] ^ f[b])
-            near = np.flatnonzero((apart * np.int64(whole + share) <= room[a] + room[b]) & (label[a] != label[b]) & (within[a] | (side[a] != side[b])))
+            differ = np.minimum((room[a] + room[b]) // (whole + share), len(LIMITS) - 1)  # shingles, at the threshold
+            near = np.flatnonzero((apart <= FOLDED_LIMITS[differ]) & (label[a] != label[b]) & (within[a] | (side[a] != side[b])))
             if len(near):
                 x, y = (np.full(len(near), a), near + b.start) if isinstance(b, slice) else (a[near], b[near])
                 apart = np.bitwise_count(words[x] ^ words[y]).sum(1, dtype=np.int64)
-                good = (apart * (whole + share) <= room[x] + room[y]) & (whole * np.minimum(n[x], n[y]) >= share * np.maximum(n[x], n[y]))
-                out.append(np.stack([np.minimum(node[x], node[y]), np.maximum(node[x], node[y]), apart], 1)[good])
-                held += len(out[-1])
-                if held > MOST_HELD:  # memory stays bounded, however many pairs are near
-                    yield frame(out)
-                    out, held = out[:1], 0
-        yield frame(out)
+                good = (apart <= LIMITS[differ[near]]) & (whole * np.minimum(n[x], n[y]) >= share * np.maximum(n[x], n[y]))
+                x, y, apart = x[good], y[good], apart[good]
+                turned = (members[x] > members[y]) | ((members[x] == members[y]) & (label[x] < label[y]))
+                out.append(np.stack([np.where(turned, y, x), np.where(turned, x, y), apart, np.zeros_like(apart)]))
+                held += len(x)
+                if held > most:  # memory stays bounded, however many pairs are near
+                    out = [likeliest(np.concatenate(out, 1))]
+                    held = out[0].shape[1]
+                    most = max(MOST_HELD, 2 * held)
+        x, y, _, more = likeliest(np.concatenate(out, 1))
+        return pd.DataFrame({"key": key[x], "a": np.minimum(node[x], node[y]), "b": np.maximum(node[x], node[y]), "more": more.astype(bool)})
 
     def near(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest = None
         for pdf in batches:
             pdf = pdf if rest is None else pd.concat([rest, pdf], ignore_index=True)
-            last = (pdf[["key", "low", "high"]] == pdf[["key", "low", "high"]].iloc[-1]).all(axis=1).to_numpy() if len(pdf) else np.zeros(0, bool)
+            last = (pdf[group] == pdf[group].iloc[-1]).all(axis=1).to_numpy() if len(pdf) else np.zeros(0, bool)
             rest = pdf[last].reset_index(drop=True)
             if not last.all():
-                yield from pairs(pdf[~last])
+                yield pairs(pdf[~last])
         if rest is not None and len(rest):
-            yield from pairs(rest)
+            yield pairs(rest)
 
     return near
 
 
-def _candidates(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, threshold: tuple[int, int]) -> DataFrame:
-    """a, b, apart (cells in which the sketches differ) for the pairs of different components that share a bucket."""
+def _candidates(buckets: DataFrame, labels: DataFrame, nodes: DataFrame, threshold: tuple[int, int], keep: int, keys: DataFrame | None) -> DataFrame:
+    """key, a, b, more for pairs of different components that share a bucket (one of keys, if given): the likeliest of each node."""
     labelled = buckets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     several = labelled.groupBy("key").agg(F.count(F.lit(1)).alias("c"), F.min("label").alias("least"), F.max("label").alias("most")).filter("least <> most")
+    several = several if keys is None else several.join(keys, "key", "left_semi")
     blocks = F.ceil(F.col("c") / BLOCK_NODES).cast("long")
     rows = labelled.join(several.select("key", blocks.alias("blocks")), "key").withColumn("side", F.pmod(F.xxhash64("node"), "blocks"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
     rows = rows.select("key", F.least("side", "other").alias("low"), F.greatest("side", "other").alias("high"), "side", "node", "label", "n")
     rows = rows.join(nodes.select("node", "parity"), "node").select("key", "low", "high", "side", "node", "label", "n", "parity")
     rows = rows.repartition("key", "low", "high").sortWithinPartitions("key", "low", "high", "label")
-    return rows.mapInPandas(_near(threshold), "a long, b long, apart long").distinct()
+    return rows.mapInPandas(_near(threshold, keep), "key long, a long, b long, more boolean")
 
 
 def _links(df: DataFrame, text_col: str, pairs: DataFrame, nodes: DataFrame, shingle: int, threshold: tuple[int, int]) -> DataFrame:
@@ -271,18 +305,18 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingl
             links = new if links is None else settle(links.unionAll(new))
             labels = settle(connected(links))
             tested = more if tested is None else settle(tested.unionAll(more))
-        left = settle(_candidates(buckets, labels, nodes, threshold).join(tested, ["a", "b"], "left_anti"))
-    # The likeliest pairs of each node first; then all pairs that these links have not joined.
-    first = Window.partitionBy("a").orderBy("apart", "b")
-    best = settle(left.withColumn("k", F.row_number().over(first)).filter(F.col("k") <= QUICK_LEADERS).select("a", "b"))
-    links = settle(links.unionAll(_links(df, text_col, best, nodes, shingle, threshold)))
-    labels = settle(connected(links))
-    left = left.select("a", "b").join(best, ["a", "b"], "left_anti")
-    for end in ("a", "b"):
-        left = left.join(labels.toDF(end, f"label_{end}"), end, "left").withColumn(f"label_{end}", F.coalesce(f"label_{end}", end))
-    left = settle(left.filter("label_a <> label_b").select("a", "b"))
-    links = settle(links.unionAll(_links(df, text_col, left, nodes, shingle, threshold)))
-    labels = settle(connected(links))
+        keep, number, full = FIRST_PARTNERS, QUICK_ROUNDS, None
+        while True:
+            found = shelf.put(f"near-{number}", _candidates(buckets, labels, nodes, threshold, keep, full))
+            pairs = settle(found.select("a", "b").distinct().join(tested, ["a", "b"], "left_anti"))
+            if not pairs.isEmpty():
+                links = settle(links.unionAll(_links(df, text_col, pairs, nodes, shingle, threshold)))
+                labels = settle(connected(links))
+                tested = settle(tested.unionAll(pairs))
+            full = settle(found.filter("more").select("key").distinct())
+            if full.isEmpty():
+                break
+            keep, number = keep * MORE_PARTNERS, number + 1
     out = rows.select("id", "text_key", "n", "node").join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     least = out.groupBy("label").agg(F.min("id").alias("least"))
     out = out.join(least, "label", "left")

@@ -10,7 +10,7 @@ from collections.abc import Iterator
 
 import numpy as np
 
-CHUNK = 1 << 20
+CHUNK = 1 << 18
 BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(BASE, -1, 1 << 64)
 _powers: dict[str, np.ndarray] = {}
