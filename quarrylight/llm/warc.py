@@ -37,6 +37,7 @@ DEDUP_BYTES = 1000
 FRAME_BYTES = 1 << 18
 BUNDLE_BYTES = 1 << 28
 BROADCAST_GROUPS = 200_000
+MOST_READERS = 20_000
 #: The format's fixed values: skippable frame of the seek table, its footer; the record header's date.
 SKIPPABLE_MAGIC = 0x184D2A5E
 SEEKABLE_MAGIC = 0x8F92EAB1
@@ -204,8 +205,9 @@ def _read_files(folder: str):
 
 
 def read(index: DataFrame, folder: str) -> DataFrame:
-    """All records of the files that an index names."""
-    return index.select("file").distinct().mapInPandas(_read_files(folder), RECORD)
+    """All records of the files that an index names; a task for each file, up to MOST_READERS."""
+    files = settle(index.select("file").distinct())
+    return files.repartition(max(1, min(files.count(), MOST_READERS))).mapInPandas(_read_files(folder), RECORD)
 
 
 def fetch(index: DataFrame, folder: str) -> DataFrame:

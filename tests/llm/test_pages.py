@@ -1,5 +1,6 @@
 import hashlib
 import random
+import tracemalloc
 
 import pytest
 
@@ -54,6 +55,30 @@ def test_extract_cases(html, text):
     assert html_extract.extract(html) == text
 
 
+def test_marked_words_inside_an_article():
+    kept = ['<p class="follow-up">a</p>', '<p class="share-price">b</p>', '<p class="form-of-government">c</p>', '<section id="related-work"><p>d</p></section>', '<h2 class="section-header">e</h2>', "<p hidden>f</p>"]
+    gone = ['<div class="ad-box">x</div>', '<div class="newsletter">x</div>', '<p class="advert">x</p>', '<ul class="comment-list"><li>x</ul>', '<aside>x</aside>', '<div id="cookie-notice">x</div>']
+    assert html_extract.extract(f"<article>{''.join(kept + gone)}</article>") == "a\nb\nc\nd\ne\nf"
+    assert html_extract.extract('<div class="site-header">x</div><p>a</p><div class="follow-us">y</div>') == "a"
+
+
+def test_deep_and_long_pages():
+    deep = "<div class='a'>" * 100_000 + "deep" + "</div>" * 100_000
+    tracemalloc.start()
+    assert html_extract.extract(deep) == "deep"
+    assert tracemalloc.get_traced_memory()[1] < 500e6
+    tracemalloc.stop()
+    long = "".join(f"<p>paragraph {i}</p>" for i in range(100_000))
+    assert html_extract.extract(f"<article>{long}</article>").count("\n") == 99_999
+
+
+def test_archives_are_read_by_a_task_each(spark, tmp_path):
+    df = spark.createDataFrame([(i, "u", f"page {i}") for i in range(40)], "page_id long, url string, html string").repartition(5)
+    index, folder = warc.write(df, f"file://{tmp_path}/c")
+    out = warc.read(index, folder)
+    assert out.rdd.getNumPartitions() == index.select("file").distinct().count() == 5 and out.count() == 40
+
+
 def test_text_of_formulas_and_fallbacks_is_kept():
     page = "<article><p>Let <math><mi>x</mi><mo>=</mo><mn>2</mn></math> hold</p><object data='a'><param name='n'>no plugin</object><noscript><p>plain form</p></noscript><p><svg><title>t</title><path d='M0'/><text>label</text></svg></p><canvas>chart</canvas><script>var s</script><template>t</template></article>"
     assert html_extract.extract(page) == "Let x=2 hold\nno plugin\nplain form\nlabel\nchart"
