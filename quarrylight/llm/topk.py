@@ -11,7 +11,8 @@ a pass sends at most k bins for each query and partition, however many rows scor
 
 Defined cases: vectors that are null, empty, or hold a null or a non-finite component take no part;
 vectors are compared with those of equal length only; rows that repeat an id are candidates each, but not
-for queries of that id; a query id that repeats is searched once (with its smallest vector); null ids
+for queries of that id; a component beyond 64 bits counts as the nearest 64-bit integer, and a score beyond
+2^61 as 2^61 with its sign; a query id that repeats is searched once (with its smallest vector); null ids
 take no part; an empty table gives an empty result.
 """
 
@@ -31,6 +32,7 @@ SCALE = 1024
 BINS = 256
 BLOCK = 512
 ROWS = 2048
+MOST_SCORE = 1 << 61
 
 
 def quantised(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -48,8 +50,8 @@ class _Block:
     def __init__(self, ids: list[int], vectors: list[list[int]], k: int, most: int):
         self.ids, self.k = np.array(ids, np.int64), k
         self.vectors = np.array(vectors, np.int64)
-        reach = int(np.abs(self.vectors).sum(1).max()) * most + 1  # no score is beyond this
-        self.kind = np.float64 if reach < 1 << 52 else np.int64  # sums that a double holds exactly
+        self.weight = max(sum(abs(x) for x in v) for v in vectors)
+        reach = min(self.weight * most, MOST_SCORE) + 1  # no score is beyond this
         self.width = max(1, -(-(2 * reach + 1) // BINS))
         self.low = np.full(len(ids), -reach, np.int64)
         self.high = self.low + self.width * BINS
@@ -63,9 +65,18 @@ class _Block:
                 part = part[part["v"].map(len) == self.vectors.shape[1]]
                 if len(part):
                     ids = part["id"].to_numpy(np.int64)
-                    found = (self.vectors.astype(self.kind) @ np.stack(part["v"].to_numpy()).astype(self.kind).T).astype(np.int64)
+                    found = self._products(np.stack(part["v"].to_numpy()))
                     yield ids, np.where(self.ids[:, None] == ids[None, :], np.iinfo(np.int64).min, found)
 
+    def _products(self, rows: np.ndarray) -> np.ndarray:
+        """Exact inner products, in the fastest numbers that hold them."""
+        reach = self.weight * max(abs(int(rows.min())), abs(int(rows.max())))
+        if reach < 1 << 52:
+            return (self.vectors.astype(np.float64) @ rows.astype(np.float64).T).astype(np.int64)
+        if reach < MOST_SCORE:
+            return self.vectors @ rows.T
+        return np.clip(self.vectors.astype(object) @ rows.astype(object).T, -MOST_SCORE, MOST_SCORE).astype(np.int64)
+
     def histogram(self, batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """query number, bin and count of the partition's best bins inside the current range."""
         counts = np.zeros((len(self.ids), BINS), np.int64)
@@ -115,7 +126,8 @@ def search(df: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_id", ve
     """The k best rows of df for every query (of the same columns): query_id, rank, vec_id, score."""
     spark, rows = df.sparkSession, settle(quantised(df, id_col, vector_col))
     asked = quantised(queries, id_col, vector_col).groupBy("id").agg(F.min("v").alias("v"))
-    most = rows.agg(F.max(F.array_max(F.transform("v", F.abs)))).first()[0] or 0
+    ends = rows.agg(F.min(F.array_min("v")), F.max(F.array_max("v"))).first()
+    most = max(abs(x or 0) for x in ends)
     parts, waiting = [], {}
 
     def run(length: int) -> None:

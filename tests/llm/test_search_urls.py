@@ -37,6 +37,15 @@ def test_topk_of_many_close_scores(spark):
     assert got == _brute(rows, ids, 10)
 
 
+def test_huge_components_are_exact_or_tie_at_the_end(spark):
+    rows = [(0, [1e13, 1.0]), (1, [2.0, 3e12]), (2, [1.0, 0.5]), (3, [1e20, 0.0]), (4, [-1e20, 0.0]), (5, [3e38, 1.0]), (6, [float("inf"), 0.0])]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [(r.vec_id, r.score) for r in topk.search(df, df.filter("vec_id = 0"), 10).orderBy("rank").collect()]
+    whole = lambda v: [min(max(int(1024 * x // 1), -(1 << 63)), (1 << 63) - 1) for x in v]
+    want = [(i, max(-(1 << 61), min(1 << 61, sum(a * b for a, b in zip(whole(rows[0][1]), whole(v)))))) for i, v in rows[1:6]]
+    assert got == sorted(want, key=lambda r: (-r[1], r[0]))
+
+
 def test_repeated_vectors_are_candidates_each(spark):
     df = spark.createDataFrame([(0, [1.0]), (0, [1.0]), (1, [0.5]), (1, [0.5]), (2, [0.1])], "vec_id long, embedding array<float>")
     got = topk.search(df, df.filter("vec_id = 0"), 3).orderBy("rank").collect()
