@@ -179,10 +179,13 @@ def _keyed(df: DataFrame, id_col: str, text_col: str, source_col: str, seed: int
 
 
 def mix_table(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", n_shards: int = SHARDS, seed: int = 7) -> DataFrame:
-    """id, size, source_size, target and taken of every row: taken is size times the row's repeats."""
+    """id, size, source_size, target and taken of every row: taken is size times the row's repeats.
+
+    shards: the output shards of the repeats, comma-joined, as the splitting tree has dealt the row's block.
+    """
     rows = settle(_keyed(df, id_col, text_col, source_col, seed, F.col(id_col).alias("id")))
     out = plan(rows, n_shards, seed).apply(rows)
-    return out.select(F.col("id").alias(id_col), "size", "source_size", "target", (F.col("size") * F.size("shards")).cast("long").alias("taken"))
+    return out.select(F.col("id").alias(id_col), "size", "source_size", "target", (F.col("size") * F.size("shards")).cast("long").alias("taken"), F.array_join(F.array_sort("shards"), ",").alias("shards"))
 
 
 def mix(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", n_shards: int = SHARDS, seed: int = 7) -> DataFrame:

@@ -94,6 +94,19 @@ def test_mix_repeats_rows_as_the_table_says(documents):
     assert Counter(r.doc_id for r in got.collect()) == +table
 
 
+def test_shards_of_the_mixture_are_disjoint_and_even(documents):
+    """Every repeat has one shard of its own, the same wherever the row lies, and shards get near equal numbers of blocks."""
+    rows = [r for r in _docs(3000) if r[0] is not None and r[0] < 5000]
+    out = mixing.mix_table(documents(rows), n_shards=4).collect()
+    dealt = Counter()
+    for r in out:
+        own = [int(s) for s in r.shards.split(",") if s]
+        assert len(own) * r.size == r.taken and all(0 <= s < 4 for s in own)
+        dealt.update(own)
+    assert set(dealt) == set(range(4)) and max(dealt.values()) < 1.6 * min(dealt.values())
+    assert {(r.doc_id, r.shards) for r in out} == {(r.doc_id, r.shards) for r in mixing.mix_table(documents(rows).repartition(5), n_shards=4).collect()}
+
+
 def test_mix_empty(documents):
     assert mixing.mix_table(documents([])).count() == 0 and mixing.mix(documents([])).count() == 0
     assert [r.taken for r in mixing.mix_table(documents([doc(1, None), doc(2, "")])).collect()] == [0, 0]
