@@ -5,11 +5,13 @@ A-Z lower-cased. Every window of 13 words of a benchmark item (a shorter item is
 the distinct windows are the broadcast side of a hash join against the word windows of all documents, which
 are generated inside the scan's stage and never shuffled. A hash match counts only if the words are equal.
 
-The windows are counted first: beyond BROADCAST_BYTES the same join runs as a shuffled join.
-
 Each document also sends one row at position 0 through the join, which matches a marker in the windows
 table, so that documents without hits are reported from the same single scan.
 
+The windows are counted first. Beyond BROADCAST_BYTES they are no broadcast side: then the documents' windows go
+to them as (document, position, hash) only, the words of the few that meet are read again for the comparison of
+words, and documents without hits come from a left join.
+
 Defined cases: a null or empty text has no words and is not contaminated; items without words have no
 windows; a null item id gives hits but is not listed; rows that repeat id and text are reported each; an
 empty benchmark leaves all documents clean; other columns pass through `decontaminate`.
@@ -52,12 +54,12 @@ def scan(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col:
     grams = settle(item_windows(benchmark, item_col, item_text_col, window))
     size = grams.agg(F.sum(F.octet_length("gram") + 64 + 24 * F.size("items"))).first()[0] or 0
     lengths = sorted(r[0] for r in grams.select("len").distinct().collect()) or [window]  # at most `window` numbers
-    marker = grams.sparkSession.range(1).select(F.lit(MARKER).cast("long").alias("h"), F.lit("").alias("gram"), F.lit(0).alias("len"), F.array().cast("array<string>").alias("items"))
-    grams = grams.unionByName(marker).withColumnRenamed("len", "span")
-    if size <= BROADCAST_BYTES:
-        grams = F.broadcast(grams)
     text = F.col(text_col)
     rows = df.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_key"), words(text).alias("w"))
+    if size > BROADCAST_BYTES:
+        return _scan_shuffled(rows, grams.withColumnRenamed("len", "span"), lengths)
+    marker = grams.sparkSession.range(1).select(F.lit(MARKER).cast("long").alias("h"), F.lit("").alias("gram"), F.lit(0).alias("len"), F.array().cast("array<string>").alias("items"))
+    grams = F.broadcast(grams.unionByName(marker).withColumnRenamed("len", "span"))
     if len(lengths) == 1:
         rows = rows.withColumn("len", F.lit(lengths[0]))
     else:
@@ -75,14 +77,37 @@ def scan(df: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col:
         F.array_sort(F.collect_set(F.when(hit, F.struct(F.col("at"), F.col("span").alias("len"))))).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_set(F.when(hit, F.col("items")))))).alias("items"),
     )
-    covered = F.aggregate(
-        "spans",
+    found = found.select("id", "text_key", "n_words", "spans", "items", covered(F.col("spans")).alias("n_hit"), F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
+    return found.drop("copy")
+
+
+def covered(spans: Column) -> Column:
+    """Number of words in sorted spans."""
+    return F.aggregate(
+        spans,
         F.struct(F.lit(0).alias("n"), F.lit(0).alias("end")),
         lambda a, s: F.struct((a["n"] + F.greatest(s["at"] + s["len"] - F.greatest(s["at"], a["end"]), F.lit(0))).alias("n"), F.greatest(a["end"], s["at"] + s["len"]).alias("end")),
         lambda a: a["n"].cast("long"),
     )
-    found = found.select("id", "text_key", "n_words", "spans", "items", covered.alias("n_hit"), F.explode(F.array_repeat(F.lit(1), F.col("copies").cast("int"))).alias("copy"))
-    return found.drop("copy")
+
+
+def _scan_shuffled(rows: DataFrame, grams: DataFrame, lengths: list[int]) -> DataFrame:
+    """The same as scan for windows that are too many to broadcast: h, gram, span, items."""
+    wide = rows.filter(F.size("w") > 0).select("id", "text_key", "w", F.explode(F.lit(lengths)).alias("len"))
+    wide = wide.filter(F.size("w") >= F.col("len"))
+    hashes = F.transform(F.sequence(F.lit(1), F.size("w") - F.col("len") + 1), lambda at: F.struct(at.cast("int").alias("at"), F.xxhash64(F.slice("w", at, F.col("len"))).alias("h")))
+    windows = wide.select("id", "text_key", "len", F.explode(hashes).alias("x")).select("id", "text_key", "len", "x.at", "x.h")
+    met = windows.join(grams.select("h", "span").distinct(), (F.col("h") == grams["h"]) & (F.col("len") == F.col("span")), "left_semi")
+    spots = settle(met.groupBy("id", "text_key").agg(F.collect_set(F.struct("at", "len", "h")).alias("x")).withColumnsRenamed({"id": "of", "text_key": "of_text"}))  # no more than a text has windows
+    same = F.col("id").eqNullSafe(F.col("of")) & (F.col("text_key") == F.col("of_text"))
+    read = rows.join(spots, same).dropDuplicates(["id", "text_key"]).select("id", "text_key", "w", F.explode("x").alias("x"))
+    read = read.select("id", "text_key", "x.at", "x.len", "x.h", F.array_join(F.slice("w", F.col("x.at"), F.col("x.len")), " ").alias("said"))
+    hits = read.join(grams, (read["h"] == grams["h"]) & (F.col("said") == F.col("gram"))).select("id", "text_key", "at", "len", "items")
+    found = hits.groupBy("id", "text_key").agg(F.array_sort(F.collect_set(F.struct("at", "len"))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
+    found = found.withColumnsRenamed({"id": "of", "text_key": "of_text"})
+    out = rows.select("id", "text_key", F.size("w").cast("long").alias("n_words")).join(found, same, "left")
+    spans = F.coalesce("spans", F.array().cast("array<struct<at:int,len:int>>"))
+    return out.select("id", "text_key", "n_words", spans.alias("spans"), F.coalesce("items", F.array().cast("array<string>")).alias("items"), covered(spans).alias("n_hit"))
 
 
 def contaminated(n_hit: Column, n_words: Column) -> Column:
