@@ -30,12 +30,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import Shelf, require, settle, small_batches
-from .textsets import chunks, hashed_words, mix
+from .textsets import chunks, hashed_words, mix, packed, unpacked
 
 SHARE, WHOLE = 80, 100
 CELLS, PAGE = 1 << 24, 1 << 14
@@ -60,8 +59,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells, counts = np.unique(np.concatenate(held), return_counts=True)
         pages = cells // PAGE
         edges = np.flatnonzero(np.diff(pages, prepend=-1))
-        packed = [_packed((cells[at:to] % PAGE).astype(np.uint16), counts[at:to].astype(np.uint32)) for at, to in zip(edges, [*edges[1:], len(cells)], strict=True)]
-        return pa.RecordBatch.from_arrays([pa.array(pages[edges].astype(np.int32)), pa.array(packed, pa.binary())], names=["page", "data"])
+        parcels = [packed((cells[at:to] % PAGE).astype(np.uint16), counts[at:to].astype(np.uint32)) for at, to in zip(edges, [*edges[1:], len(cells)], strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(pages[edges].astype(np.int32)), pa.array(parcels, pa.binary())], names=["page", "data"])
 
     held, size = [], 0
     for batch in batches:
@@ -75,20 +74,6 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield counted(held)
 
 
-def _packed(*columns: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(b"".join(c.tobytes() for c in columns))
-
-
-def _unpacked(data: bytes, *kinds: str) -> list[np.ndarray]:
-    """Columns of equal length from _packed."""
-    raw, at, out = zstandard.ZstdDecompressor().decompress(data), 0, []
-    n = len(raw) // sum(np.dtype(k).itemsize for k in kinds)
-    for k in kinds:
-        out.append(np.frombuffer(raw, k, n, at))
-        at += out[-1].nbytes
-    return out
-
-
 def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """page, bytes: of all counts of a page the rounded 8 * log2, at most 255, a byte for each cell. Rows come by page."""
     page, total = None, np.zeros(PAGE, np.int64)
@@ -103,7 +88,7 @@ def _add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 if page is not None:
                     yield done()
                 page, total = number, np.zeros(PAGE, np.int64)
-            cells, counts = _unpacked(data, "u2", "u4")
+            cells, counts = unpacked(data, "u2", "u4")
             total[cells] += counts
     if page is not None:
         yield done()
@@ -225,12 +210,12 @@ def _deal(buckets: int, wide):
             bucket[_has(wide.value, word)] = -1
         order = np.argsort(bucket, kind="stable")
         edges = np.flatnonzero(np.diff(bucket[order], prepend=-2))
-        numbers, packed = [], []
+        numbers, parcels = [], []
         for at, to in zip(edges, [*edges[1:], len(order)], strict=True):
             rows = order[at:to]
             numbers.append(bucket[rows[0]])
-            packed.append(_packed(*(c[rows] for c in col)))
-        yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(packed, pa.binary())], names=["bucket", "data"])
+            parcels.append(packed(*(c[rows] for c in col)))
+        yield pa.RecordBatch.from_arrays([pa.array(numbers, pa.int32()), pa.array(parcels, pa.binary())], names=["bucket", "data"])
 
     def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, size = [], 0
@@ -313,7 +298,7 @@ def _meet_packed(keep: int):
                     yield from met(held)
                     held = []
                 bucket = number
-                held.append(_unpacked(data, *KINDS.values()))
+                held.append(unpacked(data, *KINDS.values()))
         if held:
             yield from met(held)
 
@@ -348,7 +333,7 @@ def _meet_rows(keep: int):
 def _unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for data in batch.column(1).to_pylist():
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in _unpacked(data, *KINDS.values())], names=list(ROW))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in unpacked(data, *KINDS.values())], names=list(ROW))
 
 
 FOUND = "a long, b long, word long, more boolean"

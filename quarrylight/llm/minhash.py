@@ -2,8 +2,8 @@
 
 A document is the set of its word shingles. Two collections of SIDE half-keys, each made of WIDTH minhashes,
 are computed once; table (i, j) is keyed by the pair of half-key i of the first collection and half-key j of
-the second, so 2 * SIDE * WIDTH minhashes serve SIDE * SIDE tables of 2 * WIDTH hashes. Half-keys that only
-one document has are dropped before any table is formed.
+the second, so 2 * SIDE * WIDTH minhashes serve SIDE * SIDE tables of 2 * WIDTH hashes. Half-keys travel packed
+by the thousand; those that only one document has are dropped before any table is formed.
 
 Documents with equal sets are one node. Links are confirmed on the full shingle sets, recomputed from the
 texts. Two quick rounds compare a node with a few leaders of its buckets, which joins most of a large group.
@@ -12,7 +12,7 @@ parity sketches. A sketch holds, for each cell of a hash, whether an odd number
 it; two sketches differ in no more cells than the sets differ in shingles, and hardly ever in many more than
 sets at the threshold are expected to (LIMITS; a link is ruled out with probability below 1e-9). Of the partners
 that are left, each node of a smaller component hands on its likeliest ones; what the full sets confirm joins
-components; buckets that had more pairs meet again and hand on eight times as many, until no bucket has an
+components; buckets that had more pairs meet again and hand on MORE_PARTNERS times as many, until no bucket has an
 untested pair of different components. So no bucket is capped, and pairs inside a component are not listed.
 Only the comparison of sketches grows with the square of the nodes in a bucket that are not joined.
 
@@ -38,7 +38,7 @@ from pyspark.sql.window import Window
 
 from .common import Shelf, require, settle, small_batches
 from .components import connected
-from .textsets import chunks, mix, shingle_sets
+from .textsets import chunks, mix, packed, shingle_sets, unpacked
 
 SIDE, WIDTH = 12, 3
 SLICE, AT_ONCE = 256, 256
@@ -46,9 +46,10 @@ SHINGLE = 5
 THRESHOLD = (80, 100)
 QUICK_ROUNDS, QUICK_LEADERS = 2, 6
 CELLS, FOLDED = 16, 4  # 64-bit words of a sketch, and of its folded form that is compared first
-BLOCK_NODES, SMALL_BUCKET = 2048, 64
-FIRST_PARTNERS, MORE_PARTNERS = 2, 8
+BLOCK_NODES, SMALL_BUCKET = 4096, 64
+FIRST_PARTNERS, MORE_PARTNERS = 2, 32
 MOST_HELD = 1 << 17
+BUCKET_ROWS, DEALT_ROWS, MOST_ROWS = 1 << 16, 1 << 18, 1 << 20
 BROADCAST_NODES = 200_000
 _rng = np.random.default_rng(20240607)
 _MULTIPLIERS = _rng.integers(1, 1 << 63, 2 * SIDE * WIDTH, np.uint64) | np.uint64(1)
@@ -110,6 +111,70 @@ def _sketch(shingle: int):
     return sketch
 
 
+HALF = {"half": "i8", "node": "i8", "n": "i8", "i": "u1"}
+
+
+def _deal(buckets: int):
+    """bucket, data: the half-keys of nodes, packed."""
+
+    def dealt(held: list) -> pa.RecordBatch:
+        col = [np.concatenate(c) for c in zip(*held, strict=True)]
+        bucket = (col[0].view(np.uint64) % np.uint64(buckets)).astype(np.int32)
+        order = np.argsort(bucket, kind="stable")
+        edges = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+        rows = [order[at:to] for at, to in zip(edges, [*edges[1:], len(order)], strict=True)]
+        return pa.RecordBatch.from_arrays([pa.array(bucket[[r[0] for r in rows]]), pa.array([packed(*(c[r] for c in col)) for r in rows], pa.binary())], names=["bucket", "data"])
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            node, n = (np.repeat(batch.column(c).to_numpy(), 2 * SIDE) for c in (0, 1))
+            held.append((batch.column(2).flatten().to_numpy(), node, n, np.tile(np.arange(2 * SIDE, dtype=np.uint8), batch.num_rows)))
+            size += len(node)
+            if size >= DEALT_ROWS:
+                yield dealt(held)
+                held, size = [], 0
+        if size:
+            yield dealt(held)
+
+    return deal
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """i, half, node, n of half-keys that several nodes have; rows come by bucket.
+
+    Of a bucket with more rows than MOST_ROWS one row for each half-key is held from piece to piece.
+    """
+
+    def emit(held: list) -> tuple[pa.RecordBatch, list]:
+        half, node, n, i, done = (np.concatenate(c) for c in zip(*held, strict=True))
+        order = np.lexsort((~done, node, half))
+        half, node, n, i, done = (c[order] for c in (half, node, n, i, done))
+        once = np.concatenate([[True], (half[1:] != half[:-1]) | (node[1:] != node[:-1])])
+        half, node, n, i, done = (c[once] for c in (half, node, n, i, done))
+        firsts = np.flatnonzero(np.concatenate([[True], half[1:] != half[:-1]]))
+        shared = (np.diff(np.append(firsts, len(half))) > 1) | np.logical_or.reduceat(done, firsts)
+        out = np.repeat(shared, np.diff(np.append(firsts, len(half)))) & ~done
+        rest = (half[firsts], node[firsts], n[firsts], i[firsts], shared)
+        return pa.RecordBatch.from_arrays([pa.array(i[out].astype(np.int32)), pa.array(half[out]), pa.array(node[out]), pa.array(n[out])], names=["i", "half", "node", "n"]), [rest]
+
+    bucket, held, size = None, [], 0
+    for batch in batches:
+        for number, data in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            if number != bucket and held:
+                yield emit(held)[0]
+                held, size = [], 0
+            elif size > MOST_ROWS:
+                found, held = emit(held)
+                yield found
+                size = 0
+            bucket, cols = number, unpacked(data, *HALF.values())
+            held.append((*cols, np.zeros(len(cols[0]), bool)))
+            size += len(cols[0])
+    if held:
+        yield emit(held)[0]
+
+
 def _confirm(shingle: int, threshold: tuple[int, int]):
     """Pairs whose full sets are similar enough."""
     share, whole = threshold
@@ -291,9 +356,9 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingl
     with small_batches(df.sparkSession):
         rows = settle(rows.mapInArrow(_sketch(shingle), f"id {kind}, text_key long, n long, node long, keys array<long>, parity binary"))
     nodes = settle(rows.filter("n > 0").groupBy("node").agg(F.min("text_key").alias("text_key"), F.first("parity").alias("parity")))
-    halves = rows.filter("n > 0").select("node", "n", F.posexplode("keys").alias("i", "half")).distinct()
-    shared = halves.groupBy("i", "half").agg(F.count(F.lit(1)).alias("c")).filter("c > 1").drop("c")
-    halves = settle(halves.join(shared, ["i", "half"], "left_semi"))
+    dealt = rows.filter("n > 0").select("node", "n", "keys").mapInArrow(_deal(2 * SIDE * rows.count() // BUCKET_ROWS + 1), "bucket int, data binary")
+    halves = dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_shared, "i int, half long, node long, n long")
+    halves = settle(halves.distinct())
     first, second = halves.filter(F.col("i") < SIDE), halves.filter(F.col("i") >= SIDE)
     buckets = first.select("node", "n", F.col("half").alias("x")).join(second.select("node", F.col("half").alias("y")), "node").select(F.xxhash64("x", "y").alias("key"), "node", "n")
     tested = links = labels = None

@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import zstandard
 
 CHUNK = 1 << 18
 BASE = 0x9E3779B97F4A7C15 | 1
@@ -62,6 +63,21 @@ def hashed_words(run: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return words, np.searchsorted(firsts, starts, "right") - 1
 
 
+def packed(*columns: np.ndarray) -> bytes:
+    """Columns of equal length as one parcel."""
+    return zstandard.ZstdCompressor(level=1).compress(b"".join(c.tobytes() for c in columns))
+
+
+def unpacked(data: bytes, *kinds: str) -> list[np.ndarray]:
+    """The columns of a parcel, given their kinds."""
+    raw, at, out = zstandard.ZstdDecompressor().decompress(data), 0, []
+    n = len(raw) // sum(np.dtype(k).itemsize for k in kinds)
+    for k in kinds:
+        out.append(np.frombuffer(raw, k, n, at))
+        at += out[-1].nbytes
+    return out
+
+
 def chain(words: np.ndarray, k: int) -> np.ndarray:
     """Hash of every run of k words."""
     n = len(words) - k + 1

@@ -27,6 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -225,11 +226,11 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
 
 def _scorer(model: Model):
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield texts.map(model.score).astype("float64")
+    def score(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:  # a batch's texts become strings a few at a time
+            yield pa.array([model.score(t) for at in range(0, len(texts), FILES_BATCH) for t in texts.slice(at, FILES_BATCH).to_pylist()], pa.float64())
 
-    return F.pandas_udf(score, "double")
+    return F.arrow_udf(score, "double")
 
 
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

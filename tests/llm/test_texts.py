@@ -4,6 +4,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from quarrylight.llm import components, decontam, line_dedup, minhash, textsets, toxicity
@@ -94,6 +95,24 @@ def test_rare_links_in_large_groups_below_the_threshold(documents, monkeypatch,
     assert {i: c for i, c in got.items() if up[i] != c} == {}
 
 
+@pytest.mark.parametrize("most", [1 << 20, 40])
+def test_shared_half_keys_equal_plain_counting(monkeypatch, most):
+    monkeypatch.setattr(minhash, "MOST_ROWS", most)
+    monkeypatch.setattr(minhash, "DEALT_ROWS", 100)
+    rnd = np.random.default_rng(5)
+    keys = rnd.integers(0, 60, (40, 2 * minhash.SIDE)) * 100 + np.arange(2 * minhash.SIDE)
+    keys[:25, 3] = 3  # a half-key of most nodes
+    nodes = np.concatenate([np.arange(40), [7, 7, 9]])  # rows that repeat
+    batches = [pa.RecordBatch.from_arrays([pa.array(nodes[a : a + 5]), pa.array(nodes[a : a + 5] + 100), pa.array(keys[nodes[a : a + 5]].tolist(), pa.list_(pa.int64()))], names=["node", "n", "keys"]) for a in range(0, 43, 5)]
+    dealt = pa.Table.from_batches(minhash._deal(4)(iter(batches))).sort_by("bucket")
+    got = {(r["i"], r["half"], r["node"], r["n"]) for b in minhash._shared(iter(dealt.to_batches())) for r in b.to_pylist()}
+    by = {}
+    for node in range(40):
+        for i, k in enumerate(keys[node].tolist()):
+            by.setdefault((i, k), set()).add(node)
+    assert got == {(i, k, node, node + 100) for (i, k), own in by.items() if len(own) > 1 for node in own}
+
+
 def test_deduplicate_keeps_one_row_each(documents):
     df = documents([doc(1, "a b c d e f"), doc(1, "a b c d e f"), doc(2, "A b c d e f"), doc(3, None), doc(4, ""), doc(5, "")])
     out = minhash.deduplicate(df)
