@@ -46,6 +46,7 @@ PATTERNS = ("caps", "bangs", "symbols", "repeats")
 N_DENSE = len(PATTERNS) + 3
 FILES_BATCH = 64
 BLOCK = 2048
+BROADCAST_ROWS = 200_000
 
 
 def held_out(doc_id: Column) -> Column:
@@ -238,9 +239,19 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
     require(docs, id_col, text_col)
     # A null text goes in as an empty one, so that every row gets a score.
     out = docs.select(F.col(id_col), held_out(F.col(id_col)).alias("held_out"), _scorer(model)(F.coalesce(F.col(text_col), F.lit(""))).alias("score"))
+    with small_batches(docs.sparkSession):
+        out = settle(out)
     return out.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
 def reject(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """Rows of docs that are not predicted toxic."""
-    return docs.filter(_scorer(model)(F.coalesce(F.col(text_col), F.lit(""))) < 0.5)
+    """Rows of docs that are not predicted toxic: what is scored once is the key of a text, so that no text goes to Python and back."""
+    require(docs, text_col)
+    text = F.coalesce(docs[text_col], F.lit(""))
+    key = (F.xxhash64(text), F.octet_length(text))
+    toxic = docs.select(key[0].alias("toxic_key"), key[1].alias("toxic_size"), _scorer(model)(text).alias("toxic_score")).filter("toxic_score >= 0.5")
+    with small_batches(docs.sparkSession):
+        toxic = settle(toxic.select("toxic_key", "toxic_size").distinct())
+    if toxic.count() <= BROADCAST_ROWS:
+        toxic = F.broadcast(toxic)
+    return docs.join(toxic, (key[0] == toxic["toxic_key"]) & (key[1] == toxic["toxic_size"]), "left_anti")
