@@ -10,6 +10,7 @@ from pyspark.sql.window import Window
 from .. import catalogue as C
 from ..functions import match, text, urls
 from ..schemas import CLEANED, RAW, require_columns
+from .resume import last
 
 
 def column_names(df: DataFrame) -> DataFrame:
@@ -195,3 +196,19 @@ def scrape_ready(df: DataFrame) -> DataFrame:
             break
     out = df.filter(keep).withColumn("scraping_ready", F.lit(True))
     return out if "company_id" in has else with_ids(out)
+
+
+def reachable_split(checked: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Companies that answered, and those that did not; unchecked ones are in neither."""
+    require_columns(checked, ["is_website_reachable"])
+    return checked.filter("is_website_reachable"), checked.filter("NOT is_website_reachable")
+
+
+def crawl_input(df: DataFrame, run_size: int | None = None, seed: int = 42) -> DataFrame:
+    """The columns that a crawl needs, one row for each company with an address; run_size: a sample of so many by hash."""
+    needed = ["company_id", "name", "country", "size_bucket", "domain", "final_url"]
+    require_columns(df, needed)
+    if run_size is not None and run_size <= 0:
+        raise ValueError("run_size must be positive")
+    rows = last(df.select(*needed).dropna(subset=["company_id", "final_url"]), ["company_id"], "final_url", "name", "country", "size_bucket", "domain")
+    return rows if run_size is None else rows.orderBy(F.md5(F.concat(F.lit(f"{seed}|"), F.col("company_id")).cast("binary")), "company_id").limit(run_size)

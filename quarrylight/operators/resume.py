@@ -26,6 +26,14 @@ def merge_last(old: DataFrame, new: DataFrame, key: str | list[str]) -> DataFram
     return last(both, keys, F.desc("__age")).drop("__age")
 
 
+def merge_checked(left: DataFrame, right: DataFrame, key: str, kind: str = "one_to_one") -> DataFrame:
+    """Left join by key. ValueError if right repeats a key, or left does and kind is not many_to_one."""
+    for side, df in (("right", right), *([] if kind == "many_to_one" else [("left", left)])):
+        if not df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").isEmpty():
+            raise ValueError(f"{key} repeats on the {side}")
+    return left.join(right, key, "left")
+
+
 def last(df: DataFrame, keys: list[str], *order) -> DataFrame:
     """The first row of each key in the given order."""
     return df.withColumn("__n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("__n = 1").drop("__n")

@@ -85,3 +85,8 @@ def top_children(links: DataFrame, parent: list[str], score: str, position: str,
     """The k best links of each page, earlier ones first at a tie."""
     order = Window.partitionBy(*parent).orderBy(F.desc(score), position)
     return links.filter(F.col(score) >= C.MIN_LINK).withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
+
+
+def readable_pages(pages: DataFrame) -> DataFrame:
+    """Pages that were found (any status but 404, also none) and have text."""
+    return pages.filter(~F.col("status_code").eqNullSafe(404) & F.col("page_text").isNotNull())

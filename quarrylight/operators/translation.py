@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import time
+from collections.abc import Callable, Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -26,7 +27,7 @@ def eligible(candidates: DataFrame) -> DataFrame:
     return candidates.filter(F.coalesce(keep, F.lit(False))).withColumn("translation_key", collapse_ws(text))
 
 
-def translate_one(text: str, detector: LanguageDetector, translator: Translator, wait=lambda n: None) -> tuple:
+def translate_one(text: str, detector: LanguageDetector, translator: Translator, wait: Callable[[float], None] = time.sleep) -> tuple:
     """A cache row: English is kept, other texts are translated with retries."""
     try:
         code, language = detector.detect(text)

@@ -107,6 +107,9 @@ def translate(run: Run, export: str | None = None) -> dict:
     chosen = run.load("selected")
     cache = None if run.force else files.read_table(run.spark, run.path("translations"))
     texts = translation.pending_texts(chosen, cache)
+    healthy = getattr(run.translator, "healthy", None)
+    if healthy is not None and not texts.isEmpty() and not healthy():
+        raise RuntimeError(f"the translator {run.translator.name} does not answer")
     new = translation.translate_texts(texts, run.detector, run.translator, tasks=2)
     cache = run.save("translations", translation.merge_cache(cache, new))
     out = run.save("export", translation.enrich(chosen, cache))

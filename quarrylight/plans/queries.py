@@ -276,6 +276,31 @@ def scrape_ready_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return companies.scrape_ready(df).select("company_id", "final_url", "scraping_ready")
 
 
+#: Company columns over the customer table: ids repeat and addresses are missing.
+_CRAWL_INPUT = {"company_id": "CAST(c_custkey % 400 AS STRING)", "name": "c_name", "country": "CAST(c_nationkey AS STRING)", "size_bucket": "c_mktsegment", "domain": "concat('d', CAST(c_custkey AS STRING))", "final_url": "CASE WHEN c_custkey % 7 > 0 THEN concat('http://d', CAST(c_custkey AS STRING)) END"}
+
+
+def reachable_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    df = _pages(spark, sf_dir).selectExpr(*[f"{e} AS {n}" for n, e in _READY.items()])
+    reached, missed = companies.reachable_split(df)
+    return reached.withColumn("side", F.lit("reachable")).unionAll(missed.withColumn("side", F.lit("unreachable"))).select("company_id", "side")
+
+
+def crawl_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = _table(spark, sf_dir, "customer").selectExpr(*[f"{e} AS {n}" for n, e in _CRAWL_INPUT.items()])
+    return companies.crawl_input(rows, run_size=100)
+
+
+def checked_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
+    orders = _table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_custkey").alias("key"))
+    return resume.merge_checked(orders, _table(spark, sf_dir, "customer").selectExpr("c_custkey AS key", "c_name AS name"), "key", "many_to_one")
+
+
+def readable_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = _table(spark, sf_dir, "pages").selectExpr("page_id", "CASE page_id % 4 WHEN 0 THEN 404 WHEN 1 THEN 200 END AS status_code", "CASE WHEN page_id % 3 > 0 THEN html END AS page_text")
+    return selection.readable_pages(pages).select("page_id", "status_code")
+
+
 def resume_anti_union(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = _table(spark, sf_dir, "events").groupBy("user_id").agg(F.count(F.lit(1)).alias("n"))
     done = events.filter("user_id % 3 = 0").withColumn("state", F.lit("old"))
@@ -485,7 +510,7 @@ def robots_eval(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def availability_probe(spark: SparkSession, sf_dir: str) -> DataFrame:
     sites = _pages(spark, sf_dir).select(F.col("page_id").alias("company_id"), F.col("url").alias("website_url"))
-    return web.check_availability(sites, _SiteFetcher())
+    return web.check_availability(sites, _SiteFetcher(), wait=lambda seconds: None)
 
 
 def homepage_fetch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -503,6 +528,7 @@ def crawl_bfs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _FUNCTIONS = (
+    reachable_split, crawl_input, checked_merge, readable_pages,
     clean_companies, prepare_summary, site_url_parts, site_format_usable, url_variants, country_domain_status, excluded_urls, path_features, value_path_bonus,
     company_tokens, match_score, match_score_tiered, domain_sharing, qualification_counts, stratified_sample, round_robin_sample, quota_summary, count_tables,
     pool_counts, seed_rows, prefer_country_dedup, scrape_ready_filter, resume_anti_union, crawl_cache_dedup, page_links, crawl_links, page_text, sections, text_chunks,
@@ -576,6 +602,13 @@ ORACLES = {
         r AS (SELECT *, row_number() OVER (PARTITION BY name, country ORDER BY CASE country_website_status WHEN 'country_match' THEN 0 WHEN 'global_or_unknown' THEN 1 ELSE 2 END, domain) AS n FROM o)
         SELECT name, country, domain, country_website_status FROM r WHERE n = 1""",
     "scrape_ready_filter": f"WITH r AS (SELECT {', '.join(f'{e} AS {n}' for n, e in _READY.items())} FROM pages) SELECT company_id, final_url, true AS scraping_ready FROM r WHERE final_url IS NOT NULL AND coalesce(is_website_reachable, false) AND regexp_matches(content_type, '(?i)text/html|application/xhtml\\+xml') AND qualification_status = 'keep'",
+    "reachable_split": f"WITH r AS (SELECT {', '.join(f'{e} AS {n}' for n, e in _READY.items())} FROM pages) SELECT company_id, CASE WHEN is_website_reachable THEN 'reachable' ELSE 'unreachable' END AS side FROM r WHERE is_website_reachable IS NOT NULL",
+    "crawl_input": f"""WITH r AS (SELECT {', '.join(f'{e} AS {n}' for n, e in _CRAWL_INPUT.items())} FROM customer),
+        k AS (SELECT *, row_number() OVER (PARTITION BY company_id ORDER BY final_url, name, country, size_bucket, domain) AS n FROM r WHERE company_id IS NOT NULL AND final_url IS NOT NULL),
+        s AS (SELECT *, row_number() OVER (ORDER BY md5(concat('42|', company_id)), company_id) AS o FROM k WHERE n = 1)
+        SELECT company_id, name, country, size_bucket, domain, final_url FROM s WHERE o <= 100""",
+    "checked_merge": "SELECT o_orderkey, o_custkey AS key, c_name AS name FROM orders LEFT JOIN customer ON o_custkey = c_custkey",
+    "readable_pages": "SELECT page_id, CAST(CASE page_id % 4 WHEN 0 THEN 404 WHEN 1 THEN 200 END AS INTEGER) AS status_code FROM pages WHERE page_id % 4 <> 0 AND page_id % 3 > 0 AND html IS NOT NULL",
     "resume_anti_union": "SELECT user_id, count(*) AS n, CASE WHEN user_id % 3 = 0 AND user_id % 2 = 0 THEN 'old' ELSE 'new' END AS state FROM events GROUP BY user_id",
     "crawl_cache_dedup": f"""WITH p AS (SELECT nullif({_host(_norm("url"))}, '') AS company_id, {_INTERNAL.format(u="url")} AS url, page_id FROM pages)
         SELECT company_id, url, coalesce(max(page_id) FILTER (page_id % 2 = 0), min(page_id)) AS page_id, CASE WHEN count(*) FILTER (page_id % 2 = 0) > 0 THEN 'crawl' ELSE 'cache' END AS source FROM p GROUP BY 1, 2""",

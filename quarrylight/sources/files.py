@@ -18,27 +18,39 @@ def exists(spark: SparkSession, path: str) -> bool:
     return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """A CSV file with a header, all columns as text; the words for missing values are null."""
+def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None, multi_line: bool = True) -> DataFrame:
+    """A CSV file with a header, all columns as text; the words for missing values are null.
+
+    multi_line: fields may hold line breaks, and a file is one task; without, large files are split.
+    """
     if not exists(spark, path):
         raise FileNotFoundError(path)
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    reader = spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
     df = (reader.schema(schema) if schema else reader).csv(path)
     return df.select(*[sql_text(F.col(f"`{c}`")).alias(c) if t == "string" else F.col(f"`{c}`") for c, t in df.dtypes])
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame | None:
-    """A stage's table, or None if it has not been written."""
-    return spark.read.parquet(path) if exists(spark, path) else None
+    """A stage's table, or None if it has not been written. If replacing it was cut short, the table as it was before."""
+    for at in (path, f"{path}.old"):
+        if exists(spark, at):
+            return spark.read.parquet(at)
+    return None
 
 
 def write_table(df: DataFrame, path: str) -> DataFrame:
-    """Write a stage's table, by the commit protocol, and read it back. A table may replace its own source."""
+    """Write a stage's table, by the commit protocol, and read it back. A table may replace its own source.
+
+    The old table is moved aside and removed last, so that at every moment one whole table is there.
+    """
     spark, fs_path = df.sparkSession, df.sparkSession._jvm.org.apache.hadoop.fs.Path
     df.write.mode("overwrite").parquet(f"{path}.new")
     system = fs_path(path).getFileSystem(spark._jsc.hadoopConfiguration())
-    system.delete(fs_path(path), True)
+    if system.exists(fs_path(path)):
+        system.delete(fs_path(f"{path}.old"), True)
+        system.rename(fs_path(path), fs_path(f"{path}.old"))
     system.rename(fs_path(f"{path}.new"), fs_path(path))
+    system.delete(fs_path(f"{path}.old"), True)
     return spark.read.parquet(path)
 
 

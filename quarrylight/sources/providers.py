@@ -151,7 +151,10 @@ class ChatTranslator:
         return f"ollama:{self.model}"
 
     def healthy(self) -> bool:
-        return HttpFetcher(self.timeout).get(f"{self.base}/api/tags").status < 400
+        try:
+            return HttpFetcher(self.timeout).get(f"{self.base}/api/tags").status < 400
+        except FetchError:
+            return False
 
     def translate(self, text: str, code: str, language: str) -> str:
         import json

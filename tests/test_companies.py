@@ -5,7 +5,8 @@ from pyspark.sql import functions as F
 
 from quarrylight import catalogue as C
 from quarrylight.functions import match, text, urls
-from quarrylight.operators import companies
+from quarrylight.operators import companies, resume
+from quarrylight.sources import files
 
 RAW = "NAME string, WEBSITE string, COUNTRY string, INDUSTRY string, FOUNDED int, SIZE string"
 
@@ -113,3 +114,30 @@ def test_government_share(spark):
     with pytest.raises(ValueError):
         companies.check_government(df.limit(0))
     companies.check_government(df.filter("name = 'b'"))
+
+
+def test_split_input_and_checked_merge(spark):
+    checked = spark.createDataFrame([("a", True), ("b", False), ("c", None)], "company_id string, is_website_reachable boolean")
+    reached, missed = companies.reachable_split(checked)
+    assert [r.company_id for r in reached.collect()] == ["a"] and [r.company_id for r in missed.collect()] == ["b"]
+    rows = spark.createDataFrame([("1", "n", "c", "s", "d", "u2", 0), ("1", "n", "c", "s", "d", "u1", 0), ("2", "n", "c", "s", "d", None, 0), (None, "n", "c", "s", "d", "u", 0), ("3", "n", "c", "s", "d", "u", 0)], "company_id string, name string, country string, size_bucket string, domain string, final_url string, extra int")
+    out = companies.crawl_input(rows)
+    assert sorted((r.company_id, r.final_url) for r in out.collect()) == [("1", "u1"), ("3", "u")] and "extra" not in out.columns
+    assert companies.crawl_input(rows, run_size=1).count() == 1
+    with pytest.raises(ValueError):
+        companies.crawl_input(rows, run_size=0)
+    left, right = spark.createDataFrame([(1, "x"), (1, "y")], "k int, l string"), spark.createDataFrame([(1, "r")], "k int, r string")
+    assert resume.merge_checked(left, right, "k", "many_to_one").count() == 2
+    for a, b, kind in ((left, right, "one_to_one"), (right, left, "many_to_one")):
+        with pytest.raises(ValueError):
+            resume.merge_checked(a, b, "k", kind)
+
+
+def test_a_table_survives_a_cut_write(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    files.write_table(spark.range(3).toDF("i"), path)
+    again = files.write_table(files.read_table(spark, path).filter("i > 0"), path)
+    assert again.count() == 2 and not files.exists(spark, f"{path}.old")
+    (tmp_path / "t").rename(tmp_path / "t.old")  # cut between the two renames
+    assert files.read_table(spark, path).count() == 2
+    assert files.write_table(files.read_table(spark, path).filter("i > 1"), path).count() == 1 and files.read_table(spark, path).count() == 1

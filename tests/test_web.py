@@ -43,8 +43,10 @@ def test_probe_retries_and_reasons():
 
     from quarrylight.sources.providers import FetchError
 
-    assert web.probe(["u"], Flaky((503, "text/html"), FetchError("Timeout"), (200, "text/html; x")))[:7:6] == (True, 3)
-    assert web.probe(["u"], Flaky(*[(503, "")] * 3))[4] == "http_error:503"
+    waits = []
+    assert web.probe(["u"], Flaky((503, "text/html"), FetchError("Timeout"), (200, "text/html; x")), waits.append)[:7:6] == (True, 3)
+    assert web.probe(["u"], Flaky(*[(503, "")] * 3), waits.append)[4] == "http_error:503" and waits == [0.25, 0.5] * 2
+    assert web.probe(["u"], Flaky((503, "")), attempts=1)[4::2] == ("http_error:503", 1)
     assert web.probe(["u", "v"], Flaky((404, "a"), (200, "application/pdf")))[4:7:2] == ("non_html:application/pdf", 2)
     assert web.probe(["u"], Flaky(FetchError("TooManyRedirects")))[4] == "too_many_redirects"
     assert web.probe([], Flaky())[4:] == ("invalid", "[]", 0)
