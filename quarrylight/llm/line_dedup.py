@@ -40,7 +40,7 @@ SHARE, WHOLE = 80, 100
 CELLS, PAGE = 1 << 24, 1 << 14
 BLOCK = 4096
 FIRST_PARTNERS, MORE_PARTNERS = 1, 256
-MOST_LINES = 1 << 14
+MOST_LINES, PAIRS = 1 << 14, 256
 MEETING_ROWS, BUCKET_ROWS, DEALT_ROWS, COUNTED_WORDS = 1 << 16, 1 << 16, 1 << 18, 1 << 20
 MAP_BITS = 1 << 26
 BROADCAST_ROWS = 300_000
@@ -412,11 +412,12 @@ def _look_up(bitmap):
 
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """node: the later one of pairs whose lines are similar enough."""
-    for batch in batches:
-        later, x, y = (batch.column(i).to_pylist() for i in range(3))
-        sets = {t: _word_set(t) for t in {*x, *y}}
-        good = {later[i] for i in range(len(x)) if WHOLE * (c := len(sets[x[i]] & sets[y[i]])) >= SHARE * (len(sets[x[i]]) + len(sets[y[i]]) - c)}
-        yield pa.RecordBatch.from_arrays([pa.array(list(good), pa.int64())], names=["node"])
+    for whole in batches:
+        for batch in (whole.slice(at, PAIRS) for at in range(0, whole.num_rows, PAIRS)):
+            later, x, y = (batch.column(i).to_pylist() for i in range(3))
+            sets = {t: _word_set(t) for t in {*x, *y}}
+            good = {later[i] for i in range(len(x)) if WHOLE * (c := len(sets[x[i]] & sets[y[i]])) >= SHARE * (len(sets[x[i]]) + len(sets[y[i]]) - c)}
+            yield pa.RecordBatch.from_arrays([pa.array(list(good), pa.int64())], names=["node"])
 
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
