@@ -97,12 +97,13 @@ def _scan_shuffled(rows: DataFrame, grams: DataFrame, lengths: list[int]) -> Dat
     wide = wide.filter(F.size("w") >= F.col("len"))
     hashes = F.transform(F.sequence(F.lit(1), F.size("w") - F.col("len") + 1), lambda at: F.struct(at.cast("int").alias("at"), F.xxhash64(F.slice("w", at, F.col("len"))).alias("h")))
     windows = wide.select("id", "text_key", "len", F.explode(hashes).alias("x")).select("id", "text_key", "len", "x.at", "x.h")
-    met = windows.join(grams.select("h", "span").distinct(), (F.col("h") == grams["h"]) & (F.col("len") == F.col("span")), "left_semi")
+    grams = grams.withColumnRenamed("h", "gram_h")
+    met = windows.join(grams.select("gram_h", "span").distinct(), (F.col("h") == F.col("gram_h")) & (F.col("len") == F.col("span")), "left_semi")
     spots = settle(met.groupBy("id", "text_key").agg(F.collect_set(F.struct("at", "len", "h")).alias("x")).withColumnsRenamed({"id": "of", "text_key": "of_text"}))  # no more than a text has windows
     same = F.col("id").eqNullSafe(F.col("of")) & (F.col("text_key") == F.col("of_text"))
     read = rows.join(spots, same).dropDuplicates(["id", "text_key"]).select("id", "text_key", "w", F.explode("x").alias("x"))
     read = read.select("id", "text_key", "x.at", "x.len", "x.h", F.array_join(F.slice("w", F.col("x.at"), F.col("x.len")), " ").alias("said"))
-    hits = read.join(grams, (read["h"] == grams["h"]) & (F.col("said") == F.col("gram"))).select("id", "text_key", "at", "len", "items")
+    hits = read.join(grams, (F.col("h") == F.col("gram_h")) & (F.col("said") == F.col("gram"))).select("id", "text_key", "at", "len", "items")
     found = hits.groupBy("id", "text_key").agg(F.array_sort(F.collect_set(F.struct("at", "len"))).alias("spans"), F.array_sort(F.array_distinct(F.flatten(F.collect_set("items")))).alias("items"))
     found = found.withColumnsRenamed({"id": "of", "text_key": "of_text"})
     out = rows.select("id", "text_key", F.size("w").cast("long").alias("n_words")).join(found, same, "left")
