@@ -21,6 +21,8 @@ def parser() -> argparse.ArgumentParser:
     out.add_argument("--workers", type=int, default=5, help="requests at the same time")
     out.add_argument("--seed", type=int, default=42, help="seed of the sample")
     out.add_argument("--translate", action="store_true", help="with run-all: translate at the end")
+    out.add_argument("--embedder-model", help="ONNX file of a sentence model; without one, hashed words stand in")
+    out.add_argument("--embedder-tokenizer", help="tokenizer.json of that model")
     commands = out.add_subparsers(dest="command")
     for name in ("prepare-companies", *pipeline.STAGES, "run-all"):
         commands.add_parser(name)
@@ -33,9 +35,12 @@ def main(argv: list[str] | None = None, run: pipeline.Run | None = None) -> int:
     if not args.command:
         parser().print_help()
         return 0
+    if bool(args.embedder_model) != bool(args.embedder_tokenizer):
+        parser().error("--embedder-model and --embedder-tokenizer go together")
     if run is None:
+        embedder = providers.OnnxEmbedder(args.embedder_model, args.embedder_tokenizer) if args.embedder_model else providers.HashEmbedder()
         spark = SparkSession.builder.appName("quarrylight").getOrCreate()
-        run = pipeline.Run(spark, args.output_dir, providers.HttpFetcher(), providers.HashEmbedder(), providers.StopwordDetector(), providers.ChatTranslator(), args.resume, args.force, args.seed, args.workers)
+        run = pipeline.Run(spark, args.output_dir, providers.HttpFetcher(), embedder, providers.StopwordDetector(), providers.ChatTranslator(), args.resume, args.force, args.seed, args.workers)
     if args.command == "prepare-companies":
         said = pipeline.prepare(run, args.input)
     elif args.command == "run-all":

@@ -83,15 +83,28 @@ def primary_heading(text: Column) -> Column:
     return any_of(F.lower(collapse_ws(text)), C.PRIMARY_HEADINGS)
 
 
+def matches(text: Column, pattern: str) -> Column:
+    """text.rlike for a pattern of words, \\b and gaps like .{0,40}; the pattern runs only where all its words occur."""
+    test = text.rlike(rx(pattern))
+    for words in re.split(r"\\b|\.\{\d+,\d+\}", pattern):
+        if re.fullmatch(r"[\w ]+", words):
+            test = F.contains(text, F.lit(words)) & test
+    return test
+
+
 def value_evidence(text: Column) -> Column:
     """Struct of value_section_matches, named_value_matches and contains_value_signal."""
-    clean = F.lower(collapse_ws(text))
 
-    def hits(patterns: tuple[str, ...]) -> Column:
-        return sum((clean.rlike(rx(p)).cast("int") for p in patterns), F.lit(0))
+    def hits(clean: Column, patterns: tuple[str, ...]) -> Column:
+        return sum((matches(clean, p).cast("int") for p in patterns), F.lit(0))
+
+    def signal(found: Column) -> Column:
+        sections, words = found["value_section_matches"], found["named_value_matches"]
+        return F.struct(sections.alias("value_section_matches"), words.alias("named_value_matches"), ((sections >= 1) | (words >= 3)).alias("contains_value_signal"))
 
-    sections, words = hits(C.VALUE_SECTIONS), hits(C.VALUE_WORDS)
-    return F.struct(sections.alias("value_section_matches"), words.alias("named_value_matches"), ((sections >= 1) | (words >= 3)).alias("contains_value_signal"))
+    # As elements of arrays, so that neither the clean text nor the counts are computed once for each use.
+    counts = F.transform(F.array(F.lower(collapse_ws(text))), lambda t: F.struct(hits(t, C.VALUE_SECTIONS).alias("value_section_matches"), hits(t, C.VALUE_WORDS).alias("named_value_matches")))
+    return F.get(F.transform(counts, signal), 0)
 
 
 def path_features(path: Column) -> Column:

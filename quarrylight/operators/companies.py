@@ -30,22 +30,29 @@ def sector(industry: Column) -> Column:
     return _lookup(C.INDUSTRY_SECTOR, text.clean_text_value(industry), C.OTHER_SECTOR)
 
 
-def clean(raw: DataFrame) -> DataFrame:
-    """Companies of the target countries with a usable site and a known size."""
+def _judged(raw: DataFrame) -> DataFrame:
+    """All rows with their cleaned columns and __kept, true for companies that stay."""
     df = column_names(raw)
     missing = sorted(set(RAW) - set(df.columns))
     if missing:
         raise ValueError(f"Missing required columns: {missing}")
-    df = df.dropna(subset=list(RAW)).select(*[text.clean_text_value(F.col(c)).alias(c) for c in RAW])
-    df = df.filter(F.col("country").isin(*C.COUNTRIES) & urls.website_usable(F.col("website")))
+    df = df.select(*[text.clean_text_value(F.col(c)).alias(c) for c in RAW])
     df = df.withColumns({"website_url": urls.normalise_url(F.col("website")), "domain": urls.domain_of(F.col("website")), "size_bucket": size_bucket(F.col("size")), "High_Level_Sector": sector(F.col("industry"))})
-    return df.filter(F.col("domain").isNotNull() & (F.col("size_bucket") != "too_small")).select(*CLEANED)
+    kept = F.col("country").isin(*C.COUNTRIES) & urls.website_usable(F.col("website")) & F.col("domain").isNotNull() & (F.col("size_bucket") != "too_small")
+    for c in RAW:
+        kept = F.col(c).isNotNull() & kept
+    return df.withColumn("__kept", kept)
+
+
+def clean(raw: DataFrame) -> DataFrame:
+    """Companies of the target countries with a usable site and a known size."""
+    return _judged(raw).filter("__kept").select(*CLEANED)
 
 
 def prepare_summary(raw: DataFrame) -> DataFrame:
     """input_rows, written_rows and unmapped_rows (sector Other), from one scan."""
-    kept = clean(raw).agg(F.count(F.lit(1)).alias("written_rows"), F.count(F.when(F.col("High_Level_Sector") == C.OTHER_SECTOR, 1)).alias("unmapped_rows"))
-    return raw.agg(F.count(F.lit(1)).alias("input_rows")).join(kept, F.lit(True))  # one row each
+    other = F.col("High_Level_Sector") == C.OTHER_SECTOR
+    return _judged(raw).agg(F.count(F.lit(1)).alias("input_rows"), F.count(F.when(F.col("__kept"), 1)).alias("written_rows"), F.count(F.when(F.col("__kept") & other, 1)).alias("unmapped_rows"))
 
 
 def score(df: DataFrame, company: str = "name", domain: str = "domain", country: str = "country") -> DataFrame:
@@ -90,22 +97,30 @@ def _draw(key: Column, seed: int, salt: str) -> Column:
     return F.md5(F.concat_ws("|", F.lit(f"{seed}|{salt}"), key).cast("binary"))
 
 
-def sample(df: DataFrame, seed: int = 42, key: str = "name") -> DataFrame:
-    """Per country and size up to 25 companies, at most 5 of a sector first, topped up from the rest.
+def sample(df: DataFrame, seed: int = 42, key: str = "name", per_size: int | dict[str, int] = C.PER_SIZE, per_sector: int = C.PER_SECTOR, per_country: int = C.PER_COUNTRY) -> DataFrame:
+    """Per country and size up to per_size companies, at most per_sector of a sector first, topped up from the rest.
 
-    Countries without any known size give up to 100 companies. The order is a hash, so the draw does not
-    depend on partitions. Rows are ordered by country, size, sector and name.
+    per_size is one number, or one for each size (sizes that are not named give none). No country gives more
+    than per_country companies; those without any known size give up to as many. The order is a hash, so the
+    draw does not depend on partitions. Rows are ordered by country, size, sector and name.
     """
+    targets = per_size if isinstance(per_size, dict) else dict.fromkeys(C.KNOWN_SIZES, per_size)
+    if not targets or min(*targets.values(), per_sector, per_country) < 0:
+        raise ValueError("sample sizes must be there and must not be negative")
     require_columns(df, ["country", "size_bucket", "High_Level_Sector", key])
     df = df.filter(F.col("country").isNotNull())
     known = df.filter(F.col("size_bucket").isin(*C.KNOWN_SIZES) & F.col("High_Level_Sector").isNotNull())
     id_ = F.col(key).cast("string")
     by_sector = Window.partitionBy("country", "size_bucket", "High_Level_Sector").orderBy(_draw(id_, seed, "sector"), key)
-    by_size = Window.partitionBy("country", "size_bucket").orderBy(F.col("__s") > C.PER_SECTOR, _draw(id_, seed, "size"), key)
-    chosen = known.withColumn("__s", F.row_number().over(by_sector)).withColumn("__n", F.row_number().over(by_size)).filter(F.col("__n") <= C.PER_SIZE).drop("__s", "__n")
+    by_size = Window.partitionBy("country", "size_bucket").orderBy(F.col("__s") > per_sector, _draw(id_, seed, "size"), key)
+    limit = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for p in targets.items() for x in p]), F.col("size_bucket")), F.lit(0))
+    chosen = known.withColumn("__s", F.row_number().over(by_sector)).withColumn("__n", F.row_number().over(by_size)).filter(F.col("__n") <= limit).drop("__s", "__n")
     without = df.join(known.select("country").distinct(), "country", "left_anti")
     by_country = Window.partitionBy("country").orderBy(_draw(id_, seed, "country"), key)
-    rest = without.withColumn("__n", F.row_number().over(by_country)).filter(F.col("__n") <= C.PER_COUNTRY).drop("__n")
+    first = lambda rows: rows.withColumn("__n", F.row_number().over(by_country)).filter(F.col("__n") <= per_country).drop("__n")
+    rest = first(without)
+    if sum(targets.values()) > per_country:
+        chosen = first(chosen)
     return chosen.unionByName(rest).orderBy("country", "size_bucket", "High_Level_Sector", key)
 
 
@@ -115,6 +130,20 @@ def with_ids(sampled: DataFrame, key: str = "name") -> DataFrame:
     return sampled.withColumn("company_id", F.format_string("C%04d", F.row_number().over(order)))
 
 
+def numbered(df: DataFrame, key: str = "name") -> DataFrame:
+    """with_ids for tables of any size: rows are numbered within their country, size and sector, after those of the groups before.
+
+    Only the groups' counts are numbered in one task. Equal keys come in the order of their address.
+    """
+    group = ["country", "size_bucket", "High_Level_Sector"]
+    counts = df.groupBy(*group).agg(F.count(F.lit(1)).alias("__size"))
+    before = counts.withColumn("__before", F.sum("__size").over(Window.orderBy(*group)) - F.col("__size")).select(*[F.col(c).alias(f"__{c}") for c in group], "__before")
+    same = [F.col(c).eqNullSafe(F.col(f"__{c}")) for c in group]
+    place = F.row_number().over(Window.partitionBy(*group).orderBy(key, "final_url"))
+    out = df.withColumn("__place", place).join(before, same[0] & same[1] & same[2])
+    return out.withColumn("company_id", F.format_string("C%04d", F.col("__before") + F.col("__place"))).select(*df.columns, "company_id")
+
+
 def round_robin(df: DataFrame, per_country: int = 60, per_sector: int = 5, government_share: float = 0.10, seed: int = 42, key: str = "name") -> DataFrame:
     """Per country, one company of each (size, sector) queue in turn, under quotas for sectors and government.
 
@@ -157,9 +186,9 @@ def check_government(df: DataFrame, most: float = 0.10) -> None:
 
 
 def count_tables(df: DataFrame) -> DataFrame:
-    """Companies by country, by size and by sector, as (dimension, value, n)."""
-    parts = [df.groupBy(F.col(c).alias("value")).agg(F.count(F.lit(1)).alias("n")).select(F.lit(c).alias("dimension"), "value", "n") for c in ("country", "size_bucket", "High_Level_Sector")]
-    return parts[0].unionAll(parts[1]).unionAll(parts[2])
+    """Companies by country, by size and by sector, as (dimension, value, n), from one scan."""
+    cells = F.array(*[F.struct(F.lit(c).alias("dimension"), F.col(c).cast("string").alias("value")) for c in ("country", "size_bucket", "High_Level_Sector")])
+    return df.select(F.explode(cells).alias("c")).groupBy("c.dimension", "c.value").agg(F.count(F.lit(1)).alias("n"))
 
 
 def pool_counts(df: DataFrame) -> DataFrame:
@@ -195,7 +224,7 @@ def scrape_ready(df: DataFrame) -> DataFrame:
             keep = keep & (F.col(column) == "keep")
             break
     out = df.filter(keep).withColumn("scraping_ready", F.lit(True))
-    return out if "company_id" in has else with_ids(out)
+    return out if "company_id" in has else numbered(out)
 
 
 def reachable_split(checked: DataFrame) -> tuple[DataFrame, DataFrame]:

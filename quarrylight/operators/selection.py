@@ -42,13 +42,13 @@ def value_signal(primary: Column, evidence: Column) -> Column:
     return (primary & _all((h, 0.40), (p, 0.40), (m, 0.05))) | (evidence & _all((h, 0.38), (p, 0.40), (m, 0.05))) | (~primary & _all((h, 0.70), (p, 0.46), (m, 0.12)))
 
 
-def gate(pages: DataFrame) -> DataFrame:
-    """Valid pages with evidence, both rules and the final score."""
+def _graded(pages: DataFrame) -> DataFrame:
+    """All pages with __valid, and evidence, both rules and the final score where that is true."""
     require_columns(pages, REQUIRED)
     h, p, n, m = _scores()
-    out = pages.filter(~urls.is_excluded_url(F.coalesce("url", F.lit(""))) & valid_page())
+    out = pages.withColumn("__valid", ~urls.is_excluded_url(F.coalesce("url", F.lit(""))) & valid_page())
     out = out.withColumn("contains_primary_value_section", F.coalesce("contains_primary_value_section", F.lit(False)))
-    out = out.withColumns({"value_path_bonus": urls.value_path_bonus(F.col("url")), "e": text.value_evidence(F.col("candidate_section_text"))})
+    out = out.withColumns({"value_path_bonus": urls.value_path_bonus(F.col("url")), "e": F.when(F.col("__valid"), text.value_evidence(F.col("candidate_section_text")))})
     out = out.select("*", "e.value_section_matches", "e.named_value_matches", F.col("e.contains_value_signal").alias("contains_explicit_value_evidence")).drop("e")
     primary, evidence = F.col("contains_primary_value_section"), F.col("contains_explicit_value_evidence")
     out = out.withColumns({"passes_semantic_rule": semantic_rule(), "contains_value_signal": value_signal(primary, evidence)})
@@ -57,6 +57,11 @@ def gate(pages: DataFrame) -> DataFrame:
     return out.withColumn("final_selection_score", total)
 
 
+def gate(pages: DataFrame) -> DataFrame:
+    """Valid pages with evidence, both rules and the final score."""
+    return _graded(pages).filter("__valid").drop("__valid")
+
+
 def select(pages: DataFrame) -> DataFrame:
     """The best page of each company among those with a value signal."""
     order = Window.partitionBy("company_id").orderBy(F.desc_nulls_last("final_selection_score"), F.desc_nulls_last("section_semantic_margin"), F.desc_nulls_last("section_positive_score"), F.asc_nulls_last("depth"), "url")
@@ -74,11 +79,12 @@ def best_rejected(pages: DataFrame) -> DataFrame:
 
 
 def funnel(pages: DataFrame) -> DataFrame:
-    """Pages crawled, without error, valid, with a value signal; companies accepted."""
-    gated = gate(pages)
-    first = pages.agg(F.count(F.lit(1)).alias("crawled"), F.count(F.when(F.coalesce("crawl_error", F.lit("")) == "", 1)).alias("without_error"))
-    second = gated.agg(F.count(F.lit(1)).alias("valid"), F.count(F.when(F.col("contains_value_signal"), 1)).alias("with_signal"), F.countDistinct(F.when(F.col("contains_value_signal"), F.col("company_id"))).alias("companies_accepted"))
-    return first.join(second, F.lit(True))  # one row each
+    """Pages crawled, without error, valid, with a value signal; companies accepted. Pages are read once."""
+    tests = {"crawled": F.lit(True), "without_error": F.coalesce("crawl_error", F.lit("")) == "", "valid": F.col("__valid"), "with_signal": F.col("__valid") & F.col("contains_value_signal")}
+    company = F.col("company_id").isNotNull() & tests["with_signal"]
+    marks = _graded(pages).select("company_id", *[F.coalesce(t, F.lit(False)).cast("long").alias(c) for c, t in tests.items()], F.coalesce(company, F.lit(False)).cast("long").alias("companies_accepted"))
+    each = marks.groupBy("company_id").agg(*[F.sum(c).alias(c) for c in tests], F.max("companies_accepted").alias("companies_accepted"))
+    return each.agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in (*tests, "companies_accepted")])
 
 
 def top_children(links: DataFrame, parent: list[str], score: str, position: str, k: int = C.MAX_CHILDREN) -> DataFrame:

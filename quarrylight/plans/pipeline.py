@@ -43,14 +43,15 @@ class Run:
     def save(self, name: str, df: DataFrame) -> DataFrame:
         return files.write_table(df, self.path(name))
 
-    def merged(self, name: str, wanted: DataFrame, key: str, work, restrict: bool = True) -> DataFrame:
+    def merged(self, name: str, wanted: DataFrame, key: str | list[str], work, restrict: bool = True) -> DataFrame:
         """Do the work for rows that the stage's table lacks and merge; restrict: forget rows not wanted."""
         old = files.read_table(self.spark, self.path(name)) if self.resume and not self.force else None
         new = work(resume.pending(wanted, old, key).repartition(self.workers))
         if old is None:
             return self.save(name, new)
         kept = resume.requested(old, wanted, key) if restrict else old
-        keys = [key] if restrict else [key, "url"]
+        keys = [key] if isinstance(key, str) else key
+        keys = keys if restrict else [*keys, "url"]
         return self.save(name, resume.merge_last(kept, new, keys))
 
 
@@ -68,7 +69,8 @@ def qualify(run: Run) -> dict:
 
 
 def availability(run: Run) -> dict:
-    out = run.merged("availability", run.load("sample"), "company_id", lambda df: web.check_availability(df, run.fetcher))
+    # With the address in the key, a company whose address has changed is probed again.
+    out = run.merged("availability", run.load("sample"), ["company_id", "website_url"], lambda df: web.check_availability(df, run.fetcher))
     return out.agg(F.count(F.lit(1)).alias("rows"), F.count(F.when(F.col("is_website_reachable"), 1)).alias("reachable")).first().asDict()
 
 

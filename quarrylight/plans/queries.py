@@ -324,6 +324,17 @@ def crawl_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return semantic.page_links(_pages(spark, sf_dir), "url", "url").select("page_id", "position", "internal_url", "url_path", "anchor_text")
 
 
+def rescored_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages as crawled with other scores; every seventh had an error."""
+    pages = semantic.page_texts(_pages(spark, sf_dir)).select("page_id", "page_text", F.expr("CASE WHEN page_id % 7 = 0 THEN 'http_error_404' ELSE '' END").alias("crawl_error"), *[F.lit(0.0).alias(c) for c in ("content_positive_score", "content_negative_score", "semantic_margin")])
+    return semantic.rescore(pages, HashEmbedder()).drop("page_text")
+
+
+def robots_fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    sites = _pages(spark, sf_dir).select(F.col("page_id").alias("company_id"), urls.domain_of(F.col("url")).alias("domain"), F.col("url").alias("final_url"))
+    return web.check_robots(sites, fixture="User-agent: *\nDisallow: /private").drop("final_url")
+
+
 def page_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return semantic.page_texts(_pages(spark, sf_dir)).select("page_id", "page_text")
 
@@ -339,7 +350,7 @@ _DOC_TEXT = "concat(text, CASE doc_id % 5 WHEN 0 THEN ' Our values: integrity, r
 
 def text_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _table(spark, sf_dir, "documents").select("doc_id", text.chunks(F.col("text")).alias("c"))
-    return docs.select("doc_id", F.size("c").cast("long").alias("n"), F.md5(F.get("c", F.size("c") - 1).cast("binary")).alias("last"))
+    return docs.select("doc_id", F.size("c").cast("long").alias("n"), F.md5(F.get("c", F.size("c") - 1).cast("binary")).alias("last"), F.md5(F.array_join("c", "\x1f").cast("binary")).alias("all_chunks"))
 
 
 def value_evidence(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -351,7 +362,7 @@ _HEADS = ["Our Values", "What we  believe", "Contact", "Company DNA", "Our DNA a
 
 
 def primary_heading(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _table(spark, sf_dir, "documents").selectExpr("doc_id", f"concat({_case('doc_id % 6', _HEADS)}, ' ', substr(text, 1, 20)) AS heading")
+    docs = _table(spark, sf_dir, "documents").selectExpr("doc_id", f"concat({_case('doc_id % 6', _HEADS)}, ' ', text) AS heading")
     return docs.select("doc_id", text.primary_heading(F.col("heading")).alias("primary_heading"))
 
 
@@ -531,7 +542,7 @@ _FUNCTIONS = (
     reachable_split, crawl_input, checked_merge, readable_pages,
     clean_companies, prepare_summary, site_url_parts, site_format_usable, url_variants, country_domain_status, excluded_urls, path_features, value_path_bonus,
     company_tokens, match_score, match_score_tiered, domain_sharing, qualification_counts, stratified_sample, round_robin_sample, quota_summary, count_tables,
-    pool_counts, seed_rows, prefer_country_dedup, scrape_ready_filter, resume_anti_union, crawl_cache_dedup, page_links, crawl_links, page_text, sections, text_chunks,
+    pool_counts, seed_rows, prefer_country_dedup, scrape_ready_filter, resume_anti_union, crawl_cache_dedup, page_links, crawl_links, page_text, rescored_pages, robots_fixture, sections, text_chunks,
     value_evidence, primary_heading, text_clean, text_quality_gate, theme_top1, theme_margin, gate_rules, best_per_group, best_rejected, funnel_counts, top2_children,
     translation_join, translate_documents, translation_prompts, export_cleanup, robots_eval, availability_probe, homepage_fetch, crawl_bfs,
 )
@@ -568,15 +579,21 @@ def _best(bank: str) -> str:
     return f"list_max(list_transform({bank}, lambda t: {_COS.format(a='embedding', b='t.v')}))"
 
 
+_VARIANTS_CTE = f"""u AS (SELECT *, {_norm("website")} AS u FROM raw),
+    p AS (SELECT *, {_host("u")} AS h, regexp_extract(u, '{_PARTS}', 2) AS s, concat({_path("u")}, CASE WHEN regexp_extract(u, '{_PARTS}', 7) <> '' THEN concat('?', regexp_extract(u, '{_PARTS}', 7)) ELSE '' END) AS t FROM u),
+    v AS (SELECT company_id, website, h, CASE WHEN s = 'https' THEN [concat(s, '://', h, t), concat(s, '://www.', h, t)] ELSE [concat(s, '://', h, t), concat(s, '://www.', h, t), concat('https://', h, t), concat('https://www.', h, t)] END AS v FROM p)"""
+_LINKS_CTE = rf"""a AS (SELECT page_id, url, unnest(regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1)) AS raw_link, unnest(regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2)) AS anchor_text, unnest(range(len(regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1)))) AS i FROM pages),
+    n AS (SELECT page_id, raw_link, anchor_text, {_INTERNAL.format(u="concat(regexp_extract(url, '^https?://[^/?#]+', 0), raw_link)")} AS internal_url, i FROM a),
+    r AS (SELECT *, row_number() OVER (PARTITION BY page_id, internal_url ORDER BY i) AS k FROM n),
+    found AS (SELECT * FROM r WHERE k = 1)"""
+
 ORACLES = {
     "clean_companies": f"WITH {_CLEAN_CTE} SELECT * EXCLUDE (company_id) FROM cleaned",
     "prepare_summary": f"WITH {_CLEAN_CTE} SELECT (SELECT count(*) FROM raw) AS input_rows, count(*) AS written_rows, count(*) FILTER (High_Level_Sector = 'Other') AS unmapped_rows FROM cleaned",
     "site_url_parts": f"""SELECT page_id, {_norm("url")} AS normal, nullif({_host(_norm("url"))}, '') AS domain, {_INTERNAL.format(u="url")} AS internal, {_path("url")} AS path,
         {_norm_path("url")} AS normal_path, concat(regexp_extract(url, '{_PARTS}', 2), '://', regexp_extract(url, '{_PARTS}', 4), '/robots.txt') AS robots, {_host("url")} = 'example.com' OR ends_with({_host("url")}, '.example.com') AS below_example FROM pages""",
     "site_format_usable": f"WITH raw AS ({_RAW_SQL}), d AS (SELECT *, nullif({_host(_norm('website'))}, '') AS domain FROM raw) SELECT company_id, {_usable('website', 'domain')} AS usable FROM d",
-    "url_variants": f"""WITH raw AS ({_RAW_SQL}), u AS (SELECT company_id, {_norm("website")} AS u FROM raw),
-        p AS (SELECT company_id, {_host("u")} AS h, regexp_extract(u, '{_PARTS}', 2) AS s, concat({_path("u")}, CASE WHEN regexp_extract(u, '{_PARTS}', 7) <> '' THEN concat('?', regexp_extract(u, '{_PARTS}', 7)) ELSE '' END) AS t FROM u),
-        v AS (SELECT company_id, h, CASE WHEN s = 'https' THEN [concat(s, '://', h, t), concat(s, '://www.', h, t)] ELSE [concat(s, '://', h, t), concat(s, '://www.', h, t), concat('https://', h, t), concat('https://www.', h, t)] END AS v FROM p)
+    "url_variants": f"""WITH raw AS ({_RAW_SQL}), {_VARIANTS_CTE}
         SELECT company_id, CASE WHEN coalesce(h, '') = '' THEN '[]' ELSE CAST(to_json(v) AS VARCHAR) END AS variants FROM v""",
     "country_domain_status": f"WITH {_CLEAN_CTE} SELECT company_id, {_country('domain')} AS status, {_suffix('domain')} AS suffix, {_label('domain')} AS label FROM cleaned",
     "excluded_urls": f"WITH {_TAILED_CTE} SELECT page_id, {_is_excluded('url')} AS excluded, regexp_matches({_path('url')}, '{urls.UNWANTED_PATH}') AS unwanted FROM tailed",
@@ -612,15 +629,22 @@ ORACLES = {
     "resume_anti_union": "SELECT user_id, count(*) AS n, CASE WHEN user_id % 3 = 0 AND user_id % 2 = 0 THEN 'old' ELSE 'new' END AS state FROM events GROUP BY user_id",
     "crawl_cache_dedup": f"""WITH p AS (SELECT nullif({_host(_norm("url"))}, '') AS company_id, {_INTERNAL.format(u="url")} AS url, page_id FROM pages)
         SELECT company_id, url, coalesce(max(page_id) FILTER (page_id % 2 = 0), min(page_id)) AS page_id, CASE WHEN count(*) FILTER (page_id % 2 = 0) > 0 THEN 'crawl' ELSE 'cache' END AS source FROM p GROUP BY 1, 2""",
-    "page_links": rf"""WITH a AS (SELECT page_id, url, unnest(regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 1)) AS raw_link, unnest(regexp_extract_all(html, '<a href="([^"]*)">([^<]*)</a>', 2)) AS anchor_text FROM pages),
-        n AS (SELECT page_id, raw_link, anchor_text, {_INTERNAL.format(u="concat(regexp_extract(url, '^https?://[^/?#]+', 0), raw_link)")} AS internal_url, row_number() OVER (PARTITION BY page_id) AS i FROM a),
-        r AS (SELECT *, row_number() OVER (PARTITION BY page_id, internal_url ORDER BY i) AS k FROM n)
-        SELECT page_id, raw_link, internal_url, anchor_text FROM r WHERE k = 1""",
+    "page_links": f"WITH {_LINKS_CTE} SELECT page_id, raw_link, internal_url, anchor_text FROM found",
+    "crawl_links": f"""WITH {_LINKS_CTE} SELECT page_id, CAST(row_number() OVER (PARTITION BY page_id ORDER BY i) - 1 AS INTEGER) AS position, internal_url, {_path("internal_url")} AS url_path, anchor_text
+        FROM found WHERE NOT {_is_excluded("internal_url")}""",
+    "robots_fixture": f"""SELECT page_id AS company_id, nullif({_host(_norm("url"))}, '') AS domain, concat(regexp_extract(url, '{_PARTS}', 2), '://', regexp_extract(url, '{_PARTS}', 4), '/robots.txt') AS robots_url,
+        200 AS robots_status_code, false AS robots_allowed, 'Disallow rule present in robots.txt' AS robots_reason FROM pages""",
+    "availability_probe": f"""WITH raw AS (SELECT page_id AS company_id, url AS website FROM pages), {_VARIANTS_CTE},
+        a AS (SELECT company_id, website, CASE WHEN coalesce(h, '') = '' THEN [] ELSE v END AS v, coalesce(h, '') <> '' AND NOT contains(v[1], '/de/') AS good FROM v)
+        SELECT company_id, website AS website_url, good AS is_website_reachable, CASE WHEN good THEN v[1] END AS final_url, CASE WHEN good THEN 200 WHEN len(v) > 0 THEN 503 END AS status_code, CASE WHEN len(v) > 0 THEN 'text/html' END AS content_type,
+               CASE WHEN good THEN NULL WHEN len(v) > 0 THEN 'http_error:503' ELSE 'invalid' END AS failure_reason, CASE WHEN len(v) > 0 THEN concat('["', array_to_string(v, '", "'), '"]') ELSE '[]' END AS checked_url_variants,
+               CAST(CASE WHEN good THEN 1 ELSE 3 * len(v) END AS INTEGER) AS http_attempts FROM a""",
     "text_chunks": f"""WITH c AS (SELECT doc_id, {_CLEANED_TEXT} AS c FROM documents), n AS (SELECT doc_id, c, CASE WHEN length(c) = 0 THEN 0 ELSE greatest(CAST(ceil((length(c) - 1500) / 1250.0) AS BIGINT), 0) + 1 END AS n FROM c)
-        SELECT doc_id, n, CASE WHEN n > 0 THEN md5(trim(substr(c, (n - 1) * 1250 + 1, 1500))) END AS last FROM n""",
+        SELECT doc_id, n, CASE WHEN n > 0 THEN md5(trim(substr(c, (n - 1) * 1250 + 1, 1500))) END AS last,
+               md5(CASE WHEN n > 0 THEN array_to_string(list_transform(range(0, n), lambda i: trim(substr(c, i * 1250 + 1, 1500))), chr(31)) ELSE c END) AS all_chunks FROM n""",
     "value_evidence": f"""WITH d AS (SELECT doc_id, lower({_CLEANED_TEXT}) AS t FROM (SELECT doc_id, {_DOC_TEXT} AS text FROM documents)), c AS (SELECT doc_id, {_hits("t", C.VALUE_SECTIONS)} AS value_section_matches, {_hits("t", C.VALUE_WORDS)} AS named_value_matches FROM d)
         SELECT *, value_section_matches >= 1 OR named_value_matches >= 3 AS contains_value_signal FROM c""",
-    "primary_heading": f"WITH d AS (SELECT doc_id, concat({_case('doc_id % 6', _HEADS)}, ' ', substr(text, 1, 20)) AS text FROM documents) SELECT doc_id, regexp_matches(lower({_CLEANED_TEXT}), '{_any(C.PRIMARY_HEADINGS)}') AS primary_heading FROM d",
+    "primary_heading": f"WITH d AS (SELECT doc_id, concat({_case('doc_id % 6', _HEADS)}, ' ', text) AS text FROM documents) SELECT doc_id, regexp_matches(lower({_CLEANED_TEXT}), '{_any(C.PRIMARY_HEADINGS)}') AS primary_heading FROM d",
     "text_quality_gate": r"""WITH d AS (SELECT doc_id, length(text) AS characters, length(text) - length(regexp_replace(text, '\p{L}', '', 'g')) AS letters, length(text) - length(replace(text, chr(65533), '')) AS broken FROM documents)
         SELECT d.doc_id, characters, letters, characters >= 120 AND letters >= 80 AND letters / characters >= 0.30 AND broken / characters <= 0.002 AS passes, quality FROM d LEFT JOIN labels USING (doc_id)""",
     "theme_top1": f"""WITH s AS (SELECT e.vec_id, t.vec_id AS no, {_COS.format(a="e.embedding", b="t.embedding")} AS score FROM embeddings e, (SELECT * FROM embeddings WHERE vec_id < 12) t)

@@ -106,6 +106,53 @@ class HashEmbedder:
         return out / np.where(length == 0, 1, length)
 
 
+_MODELS: dict[tuple, tuple] = {}
+
+
+@dataclass
+class OnnxEmbedder:
+    """A sentence model as an ONNX file with its tokenizer.json: mean of the token vectors, scaled to length one.
+
+    Both files are read once in each worker, so their paths must lead to them on every executor. Texts are cut
+    at max_tokens, as such models are.
+    """
+
+    model: str
+    tokenizer: str
+    max_tokens: int = 256
+    batch: int = 32
+
+    def _loaded(self) -> tuple:
+        key = (self.model, self.tokenizer)
+        if key not in _MODELS:
+            import onnxruntime
+            from tokenizers import Tokenizer
+
+            _MODELS[key] = onnxruntime.InferenceSession(self.model), Tokenizer.from_file(self.tokenizer)
+        return _MODELS[key]
+
+    def encode(self, texts: list[str]) -> np.ndarray:
+        session, tokenizer = self._loaded()
+        tokenizer.enable_truncation(self.max_tokens)
+        tokenizer.enable_padding()
+        wanted, out = {i.name for i in session.get_inputs()}, []
+        for at in range(0, len(texts), self.batch):
+            coded = tokenizer.encode_batch(list(texts[at : at + self.batch]))
+            given = {"input_ids": [c.ids for c in coded], "attention_mask": [c.attention_mask for c in coded], "token_type_ids": [c.type_ids for c in coded]}
+            given = {name: np.array(rows, dtype=np.int64) for name, rows in given.items()}
+            tokens = session.run(None, {name: rows for name, rows in given.items() if name in wanted})[0]
+            out.append(mean_vectors(tokens, given["attention_mask"]))
+        return np.concatenate(out) if out else np.zeros((0, 0))
+
+
+def mean_vectors(tokens: np.ndarray, mask: np.ndarray) -> np.ndarray:
+    """Mean over the tokens that the mask keeps, scaled to length one; zero where it keeps none."""
+    kept = mask[:, :, None].astype(np.float64)
+    mean = (tokens * kept).sum(1) / np.maximum(kept.sum(1), 1)
+    length = np.linalg.norm(mean, axis=1, keepdims=True)
+    return mean / np.where(length == 0, 1, length)
+
+
 #: Frequent words by language. Fixed values.
 STOPWORDS = {
     "en": ("English", "the and of to in is that for with are this on we our"),

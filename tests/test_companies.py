@@ -80,6 +80,24 @@ def test_sample_fills_sizes_and_repeats(spark):
     assert ids[0] == "C0001" and len(set(ids)) == len(first)
 
 
+def test_sample_sizes_can_be_set(spark):
+    pool = _pool(spark)
+    few = companies.sample(pool, per_size={"small": 3, "large": 2}, per_sector=1).collect()
+    assert {(c, s): sum(r.country == c and r.size_bucket == s for r in few) for c in ("france", "japan") for s in C.KNOWN_SIZES} == {(c, s): n for c in ("france", "japan") for s, n in zip(C.KNOWN_SIZES, (3, 0, 2, 0), strict=True)}
+    assert len({r.High_Level_Sector for r in few if r.country == "france" and r.size_bucket == "small"}) == 3
+    capped = companies.sample(pool, per_country=7).collect()
+    assert [sum(r.country == c for r in capped) for c in ("france", "japan")] == [7, 7]
+    with pytest.raises(ValueError):
+        companies.sample(pool, per_size=-1)
+
+
+def test_numbered_equals_one_window(spark):
+    pool = _pool(spark).unionAll(spark.createDataFrame([("n", None, "odd", "Retail"), ("m", "japan", None, None)], "name string, country string, size_bucket string, High_Level_Sector string"))
+    ready = pool.selectExpr("*", "concat('https://', name) AS final_url")
+    wanted = {r.name: r.company_id for r in companies.with_ids(ready).collect()}
+    assert {r.name: r.company_id for r in companies.scrape_ready(ready).collect()} == wanted and len(wanted) == 603
+
+
 def _turns(rows, per_country, per_sector, most):
     """Queue by queue, as the sampler is defined."""
     queues, out, sectors = {}, [], {}

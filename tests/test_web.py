@@ -83,6 +83,98 @@ def test_crawl_order_and_budget(spark):
     assert len(many) == 12 and max(r["depth"] for r in many) == 3 and all(r["links_queued"] in (0, 2) for r in many)
 
 
+def test_stored_crawl_equals_the_crawl_of_each_site(spark):
+    def page(links, head="x"):
+        return "".join(f'<a href="{x}">our core values</a>' for x in links) + f"<h2>Our values</h2><p>{head} {FILLER}</p>"
+
+    pages, own = [], []
+    for n, host in enumerate(("a.com", "b.com", "c.com", "d.com")):
+        home = f"https://{host}"
+        own.append((f"C{n}", f"{home}/", f"{home}/robots.txt", host if n else None))
+        tree = [home] + [f"{home}/our-values-{i}" for i in range(60)]
+        pages += [(f"C{n}", u + ("/?q=1" if i % 2 else ""), page([f"{home}/our-values-{(2 * i + k) % 60}" for k in range(3)], u)) for i, u in enumerate(tree)]
+        pages.append((f"C{n}", f"{home}/robots.txt", "User-agent: *\nDisallow: /our-values-1\n" if n == 1 else ""))
+    pages += [("C0", "https://a.com", ""), ("C0", None, "x"), (None, "https://a.com", "zzz"), ("C2", "https://c.com/our-values-3", None)]
+    own += [("C9", "https://nowhere.com", None, "n"), (None, "https://a.com", None, "n")]
+    companies = spark.createDataFrame([*own, own[0]], "company_id string, homepage_fetch_url string, robots_url string, name string")
+    stored = spark.createDataFrame(pages, "company_id string, url string, html string")
+    scorer, wanted = semantic.scorer_for(HashEmbedder()), []
+    for company, home, robots, name in own:
+        mine = sorted((H.clean_url(u), h or "") for c, u, h in pages if c == company and c is not None and u)
+        fetcher = ReplayFetcher({u: Response(u, 200, "text/html", h) for u, h in mine})
+        wanted += list(web.crawl_site({"company_id": company, "homepage_fetch_url": home, "robots_url": robots, "name": name}, fetcher, scorer))
+    got = [r.asDict() for r in web.crawl_corpus(companies, stored, HashEmbedder()).collect()]
+    key = lambda r: (r["company_id"] or "", r["url"])
+    assert sorted(got, key=key) == sorted(wanted, key=key) and len(got) > 30
+    assert {r["crawl_error"] for r in got} >= {"", "robots_blocked", "http_error_404"}
+    assert web.crawl_corpus(companies.limit(0), stored, HashEmbedder()).count() == 0
+    plan = web.crawl_corpus(companies, stored, HashEmbedder())._jdf.queryExecution().executedPlan().toString()
+    assert "FlatMapCoGroups" not in plan
+
+
+def test_robots_fixture(spark):
+    df = spark.createDataFrame([("C1", "x.fr", "https://x.fr/a")], "company_id string, domain string, final_url string")
+    assert web.check_robots(df, fixture="Disallow: /x").first()[3:] == ("https://x.fr/robots.txt", 200, False, "Disallow rule present in robots.txt")
+    assert web.check_robots(df, fixture="").first()[5:] == (True, "allowed")
+    with pytest.raises(ValueError):
+        web.check_robots(df)
+
+
+def test_rescore(spark):
+    text = f"Our core values {FILLER}"
+    df = spark.createDataFrame([("a", text, ""), ("b", text, "http_error_404"), ("c", " ", None), ("d", None, ""), ("e", text, None)], "id string, page_text string, crawl_error string")
+    old = df.selectExpr("*", "1.5D AS content_positive_score", "CAST(NULL AS DOUBLE) AS content_negative_score", "2.5D AS semantic_margin")
+    got = {r.id: r[3:] for r in semantic.rescore(old, HashEmbedder()).collect()}
+    assert got["b"] == got["c"] == got["d"] == (1.5, None, 2.5)
+    assert got["a"] == got["e"] == pytest.approx(semantic.scorer_for(HashEmbedder()).score_page(text))
+
+
+def test_onnx_embedder_pools_and_names_its_files(monkeypatch):
+    import numpy as np
+
+    from quarrylight.sources import providers
+
+    tokens = np.array([[[3.0, 4.0], [9.0, 9.0]], [[1.0, 1.0], [1.0, 1.0]]])
+    out = providers.mean_vectors(tokens, np.array([[1, 0], [0, 0]]))
+    assert out.tolist() == [[0.6, 0.8], [0.0, 0.0]]
+
+    class Session:
+        def get_inputs(self):
+            return [type("I", (), {"name": n}) for n in ("input_ids", "attention_mask")]
+
+        def run(self, _, given):
+            assert set(given) == {"input_ids", "attention_mask"}
+            return [np.stack([given["input_ids"], given["attention_mask"]], -1).astype(float)]
+
+    class Words:
+        def enable_truncation(self, n):
+            self.n = n
+
+        def enable_padding(self):
+            pass
+
+        def encode_batch(self, texts):
+            most = max(min(len(t.split()), self.n) for t in texts)
+            return [type("C", (), {"ids": [len(w) for w in t.split()][: self.n] + [0] * (most - min(len(t.split()), self.n)), "attention_mask": [1] * min(len(t.split()), self.n) + [0] * (most - min(len(t.split()), self.n)), "type_ids": [0] * most}) for t in texts]
+
+    monkeypatch.setitem(providers._MODELS, ("m", "t"), (Session(), Words()))
+    model = providers.OnnxEmbedder("m", "t", max_tokens=3, batch=2)
+    got = model.encode(["aa bbbb", "c", "dd dd dd ddddddd"])
+    assert got.shape == (3, 2) and np.allclose(np.linalg.norm(got, axis=1), 1)
+    assert np.allclose(got[0], np.array([3, 1]) / 10**0.5) and np.allclose(got[2], np.array([2, 1]) / 5**0.5)
+    assert len(model.encode([])) == 0
+    with pytest.raises(SystemExit):
+        cli.main(["--embedder-model", "m", "run-all"])
+
+
+def test_changed_address_is_probed_again(spark, tmp_path):
+    run = pipeline.Run(spark, str(tmp_path / "out"), _World(), HashEmbedder(), StopwordDetector(), MarkingTranslator(), resume=True)
+    for rows in ([("C1", "https://a.fr"), ("C2", "https://b.fr")], [("C1", "https://new.fr"), ("C2", "https://b.fr")]):
+        run.save("sample", spark.createDataFrame(rows, "company_id string, website_url string"))
+        pipeline.availability(run)
+    assert sorted((r.company_id, r.final_url) for r in run.load("availability").collect()) == [("C1", "https://new.fr/"), ("C2", "https://b.fr/")]
+
+
 def test_section_gates():
     assert semantic.passes(True, 0.5, 0.45, 0.1) and not semantic.passes(False, 0.5, 0.45, 0.1) and semantic.passes(False, 0.7, 0.42, 0.07)
     scorer = semantic.scorer_for(HashEmbedder())
