@@ -2,6 +2,12 @@
 
 from __future__ import annotations
 
+#: What a translator is asked, with the language's name and code and the text. Fixed value.
+TRANSLATION_PROMPT = (
+    "Translate the following company values text from %s (%s) into English.\n\nRules:\n- Translate literally and completely.\n- Do not summarise.\n"
+    "- Do not reorganise the content.\n- Do not add headings unless they exist in the source.\n- Do not explain the translation.\n"
+    "- Return only the translated text.\n\nSOURCE TEXT:\n%s"
+)
 #: Countries that companies are kept for. Fixed values.
 COUNTRIES = (
     "australia", "germany", "south africa", "brazil", "turkey", "france", "saudi arabia", "china", "japan",

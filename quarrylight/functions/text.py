@@ -135,8 +135,7 @@ def export_clean(col: Column) -> Column:
 
 
 def translation_prompt(text: Column, code: Column, language: Column) -> Column:
-    head = "Translate the following company values text from %s (%s) into English.\n\nRules:\n- Translate literally and completely.\n- Do not summarise.\n- Do not reorganise the content.\n- Do not add headings unless they exist in the source.\n- Do not explain the translation.\n- Return only the translated text.\n\nSOURCE TEXT:\n%s"
-    return F.format_string(head, language, code, text)
+    return F.format_string(C.TRANSLATION_PROMPT, language, code, text)
 
 
 _URL = re.compile(r"(?:https?://|www\.)\S+", re.I)

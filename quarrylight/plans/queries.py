@@ -180,6 +180,10 @@ def url_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw(spark, sf_dir).select("company_id", F.to_json(urls.url_variants(F.col("website"))).alias("variants"))
 
 
+def url_variants_plain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return raw(spark, sf_dir).select("company_id", F.to_json(urls.url_variants_plain(F.col("website"))).alias("variants"))
+
+
 def country_domain_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned(spark, sf_dir).select("company_id", urls.country_status(F.col("country"), F.col("domain")).alias("status"), urls.public_suffix(F.col("domain")).alias("suffix"), urls.registered_label(F.col("domain")).alias("label"))
 
@@ -540,7 +544,7 @@ def crawl_bfs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _FUNCTIONS = (
     reachable_split, crawl_input, checked_merge, readable_pages,
-    clean_companies, prepare_summary, site_url_parts, site_format_usable, url_variants, country_domain_status, excluded_urls, path_features, value_path_bonus,
+    clean_companies, prepare_summary, site_url_parts, site_format_usable, url_variants, url_variants_plain, country_domain_status, excluded_urls, path_features, value_path_bonus,
     company_tokens, match_score, match_score_tiered, domain_sharing, qualification_counts, stratified_sample, round_robin_sample, quota_summary, count_tables,
     pool_counts, seed_rows, prefer_country_dedup, scrape_ready_filter, resume_anti_union, crawl_cache_dedup, page_links, crawl_links, page_text, rescored_pages, robots_fixture, sections, text_chunks,
     value_evidence, primary_heading, text_clean, text_quality_gate, theme_top1, theme_margin, gate_rules, best_per_group, best_rejected, funnel_counts, top2_children,
@@ -595,6 +599,9 @@ ORACLES = {
     "site_format_usable": f"WITH raw AS ({_RAW_SQL}), d AS (SELECT *, nullif({_host(_norm('website'))}, '') AS domain FROM raw) SELECT company_id, {_usable('website', 'domain')} AS usable FROM d",
     "url_variants": f"""WITH raw AS ({_RAW_SQL}), {_VARIANTS_CTE}
         SELECT company_id, CASE WHEN coalesce(h, '') = '' THEN '[]' ELSE CAST(to_json(v) AS VARCHAR) END AS variants FROM v""",
+    "url_variants_plain": f"""WITH raw AS ({_RAW_SQL}), u AS (SELECT company_id, {_norm("website")} AS u FROM raw),
+        h AS (SELECT company_id, u, coalesce(lower({_strip(f"regexp_extract(u, '{_PARTS}', 4)")}), '') AS h, regexp_extract(u, '{_PARTS}', 2) AS s, regexp_extract(u, '{_PARTS}', 5) AS p FROM u)
+        SELECT company_id, CASE WHEN h = '' THEN '[]' ELSE CAST(to_json([concat(s, '://', h, p), concat(s, '://', CASE WHEN starts_with(h, 'www.') THEN substr(h, 5) ELSE concat('www.', h) END, p)]) AS VARCHAR) END AS variants FROM h""",
     "country_domain_status": f"WITH {_CLEAN_CTE} SELECT company_id, {_country('domain')} AS status, {_suffix('domain')} AS suffix, {_label('domain')} AS label FROM cleaned",
     "excluded_urls": f"WITH {_TAILED_CTE} SELECT page_id, {_is_excluded('url')} AS excluded, regexp_matches({_path('url')}, '{urls.UNWANTED_PATH}') AS unwanted FROM tailed",
     "path_features": f"""WITH {_TAILED_CTE}, w AS (SELECT page_id, {_WORDS} AS words FROM tailed)

@@ -1,4 +1,4 @@
-"""Columns of the stages, and the guard that checks for them."""
+"""Columns of the stages (fixed values: files of other runs have the same), and the guard that checks for them."""
 
 from __future__ import annotations
 

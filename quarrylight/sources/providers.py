@@ -13,6 +13,8 @@ from typing import Protocol
 
 import numpy as np
 
+from ..catalogue import TRANSLATION_PROMPT
+
 
 @dataclass
 class Response:
@@ -206,8 +208,7 @@ class ChatTranslator:
     def translate(self, text: str, code: str, language: str) -> str:
         import json
 
-        rules = "- Translate literally and completely.\n- Do not summarise.\n- Do not reorganise the content.\n- Do not add headings unless they exist in the source.\n- Do not explain the translation.\n- Return only the translated text.\n\n"
-        prompt = f"Translate the following company values text from {language} ({code}) into English.\n\nRules:\n{rules}SOURCE TEXT:\n{text}"
+        prompt = TRANSLATION_PROMPT % (language, code, text)
         body = {"model": self.model, "messages": [{"role": "user", "content": prompt}], "stream": False, "options": {"temperature": 0}}
         answer = HttpFetcher(self.timeout, body=json.dumps(body).encode()).get(f"{self.base}/api/chat")
         if answer.status >= 400:

@@ -207,6 +207,39 @@ def test_run_all_and_resume(spark, tmp_path, capsys):
         pipeline.prepare(run, str(tmp_path / "none.csv"))
 
 
+def test_page_folder_and_vectors(spark, tmp_path):
+    (tmp_path / "C1.html").write_text("<p>one\ntwo</p>")
+    (tmp_path / "C2.htm").write_text("")
+    got = {r.company_id: r.html for r in files.read_pages(spark, str(tmp_path)).collect()}
+    assert got["C1"] == "<p>one\ntwo</p>" and got.get("C2", "") == ""
+    rows = semantic.embed(spark.createDataFrame([("our values",), (None,)], "t string"), "t", HashEmbedder()).collect()
+    assert [round(sum(x * x for x in r.vector), 5) for r in rows] == [1, 0]
+
+
+def test_plain_variants(spark):
+    from pyspark.sql import functions as F
+
+    from quarrylight.functions import urls
+
+    df = spark.createDataFrame([("www.a.com/x?q=1",), ("http://b.com",), (None,)], "w string")
+    assert [r[0] for r in df.select(urls.url_variants_plain(F.col("w"))).collect()] == [["https://www.a.com/x", "https://a.com/x"], ["http://b.com", "http://www.b.com"], []]
+
+
+def test_chat_translator_asks_the_fixed_prompt(monkeypatch):
+    from quarrylight import catalogue
+    from quarrylight.sources import providers
+
+    asked = []
+
+    def get(self, url):
+        asked.append((url, json.loads(self.body)))
+        return Response(url, 200, "application/json", json.dumps({"message": {"content": "hello"}}))
+
+    monkeypatch.setattr(providers.HttpFetcher, "get", get)
+    assert providers.ChatTranslator("http://x").translate("100 % Hund", "de", "German") == "hello"
+    assert asked[0][0] == "http://x/api/chat" and asked[0][1]["messages"][0]["content"] == catalogue.TRANSLATION_PROMPT % ("German", "de", "100 % Hund")
+
+
 def test_csv_and_stream(spark, tmp_path):
     df = spark.createDataFrame([(1, "é")], "id int, t string")
     files.export_csv(df, str(tmp_path / "x.csv"))
