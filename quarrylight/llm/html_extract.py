@@ -1,11 +1,13 @@
 """Main text of web pages by a site style tree.
 
-Pages of a host are merged into a style tree: a node is a chain of tags with their classes. For each node
-the entropy of its presentation (which child styles it has) and of its content (which texts it has) over the
+Whole pages of a host, articles and furniture too, are merged into a style tree: a node is a chain of tags with
+their classes. For each node the entropy of its presentation (which child styles it has) and of its content (which texts it has) over the
 host's distinct pages gives its importance: a branch that says the same, in the same form, on all pages of a
 site is furniture. Branches of low importance are cut from each page; so are branches that are furniture
-by their tag, role, class or id (menus, headers, footers, sidebars, notices, adverts, forms, comments).
-Inside an <article> or <main> the style tree cuts nothing, because a page that many pages copy is no menu, and a
+by their tag, role, class or id (menus, headers, footers, sidebars, notices, adverts, forms, comments). Such a
+branch has a node of its own, but counts as a child and not by its texts in the content of the node above.
+Inside an <article> or <main> the style tree cuts nothing, because a page that many pages copy is no menu, and no
+branch that holds one is cut as a whole; there a
 class or id counts only if all of its parts are words of furniture or of position (`ad-box`, not `share-price`),
 never on headings, and on paragraphs only as one whole word; what is `hidden` there stays.
 
@@ -58,27 +60,27 @@ TITLES = frozenset("h1 h2 h3 h4 h5 h6".split())
 #: A child of these lists ends an open one of the same list.
 SIBLINGS = ({"li"}, {"dt", "dd"}, {"tr"}, {"td", "th"}, {"option"}, {"thead", "tbody", "tfoot"})
 KIN = {tag: kin for kin in SIBLINGS for tag in kin}
-HOLDERS = frozenset("ul ol dl table select article main section div".split())
+HOLDERS = frozenset("ul ol dl table select article main section div nav header footer aside form menu button dialog".split())
+#: A paragraph around one of these is not ended from inside it.
+KEEPS_P = frozenset(("button", "select"))
 HTML_TAGS = BLOCK | frozenset("a abbr b bdi bdo cite code data del dfn em i ins kbd label mark q s samp small span strong sub sup time u var font".split())
 
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|$)|<[!?][^>]*(?:>|$)|<(?P<close>/?)(?P<tag>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*'|[\"'])*)(?:>|$)", re.S)
 ATTRIBUTE = re.compile(r"([^\s=/\"'>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 MARKED = re.compile("class|id|role|hidden|style", re.I)
-#: Elements whose furniture is passed over as a whole, to the end tag of the same depth.
-NESTING = frozenset("nav header footer aside form menu select button dialog head div section ul ol".split())
-NESTED = {t: re.compile(rf"<(/?){t}(?=[\s/>])", re.I) for t in (*NESTING, "article", "main")}
 WORDS = re.compile(r"[a-z]+(?:-[a-z]+)*")
 
 
 class Node:
     """An element of a page; style is a key of its chain of tags and classes."""
 
-    __slots__ = ("tag", "style", "furniture", "main", "children", "parent")
+    __slots__ = ("tag", "style", "furniture", "main", "holds", "children", "parent")
 
     def __init__(self, tag: str, style: int, furniture: bool, parent: Node | None):
         self.tag, self.style, self.parent = tag, style, parent
         self.furniture = furniture or (parent is not None and parent.furniture)
         self.main = tag in ("article", "main") or (parent is not None and parent.main)
+        self.holds = False  # an article or main that is no furniture
         self.children: list[Node | str] = []
 
 
@@ -118,22 +120,8 @@ def _furniture(tag: str, attrs: str, inside: bool) -> tuple[bool, str]:
     return bad, f"{tag}.{'.'.join(sorted(set(named.get('class', '').split())))}" if named.get("class") else tag
 
 
-def _after(html: str, at: int, tag: str) -> int:
-    """Where the element that was opened before `at` ends."""
-    depth = 1
-    for m in NESTED[tag].finditer(html, at):
-        depth += -1 if m[1] else 1
-        if not depth:
-            end = html.find(">", m.end())
-            return len(html) if end < 0 else end + 1
-    return len(html)
-
-
-def parse(html: str, outline: bool = False) -> Node:
-    """The page's tree; text is kept as decoded strings among the children.
-
-    What furniture contains is passed over; with outline, so is what an article or main contains.
-    """
+def parse(html: str) -> Node:
+    """The whole page's tree, furniture and articles too; text is kept as decoded strings among the children."""
     root = Node("#", 0, False, None)
     now, at, size, search = root, 0, len(html), TOKEN.search
     while at < size:
@@ -153,16 +141,16 @@ def parse(html: str, outline: bool = False) -> Node:
         tag = tag.lower()
         if close:
             up = now
-            while up is not root and up.tag != tag:
+            while up is not root and up.tag != tag and not (tag == "p" and up.tag in KEEPS_P):
                 up = up.parent
-            if up is not root:
+            if up.tag == tag:
                 now = up.parent
             elif tag in ("p", "br"):
                 now.children.append("\n" if tag == "p" else " ")
             continue
         if tag in ENDS_P:
             up = now
-            while up is not root and up.tag not in BLOCK:
+            while up is not root and up.tag not in BLOCK and up.tag not in KEEPS_P:
                 up = up.parent
             if up.tag == "p":
                 now = up.parent
@@ -175,20 +163,22 @@ def parse(html: str, outline: bool = False) -> Node:
         bad, style = _furniture(tag, attrs, now.main)
         node = Node(tag, _style(now.style, style), bad or tag in RAW, now)
         now.children.append(node)
+        if tag in ("article", "main") and not node.furniture:
+            up = now
+            while up is not None and not up.holds:
+                up.holds, up = True, up.parent
         if tag in VOID:
             continue
         if tag in RAW:
             over = re.compile(rf"</{re.escape(tag)}\s*(?:>|$)", re.I).search(html, at)
             at = over.end() if over else size
-        elif (bad and tag in NESTING) or (outline and node.main and tag in NESTED):
-            at = _after(html, at, tag)
         elif not attrs.endswith("/") or tag in HTML_TAGS:  # only unknown elements close themselves
             now = node
     return root
 
 
-def blocks(root: Node, cut: frozenset[int] = frozenset()) -> Iterator[tuple[Node, str]]:
-    """(block element, text) in page order, without furniture and cut branches."""
+def blocks(root: Node, cut: frozenset[int] = frozenset(), whole: bool = False) -> Iterator[tuple[Node, str]]:
+    """(block element, text) in page order, without furniture and cut branches; whole: nothing is left out."""
     stack, owner, parts = [(root, 0)], root, []
 
     def flush():
@@ -209,7 +199,7 @@ def blocks(root: Node, cut: frozenset[int] = frozenset()) -> Iterator[tuple[Node
                 parts.append(child)
             elif child.tag == "br" or (child.tag == "hr"):
                 parts.append(" ")
-            elif not child.furniture and not (cut and not child.main and child.style in cut):
+            elif whole or (not child.furniture and not (cut and not child.main and not child.holds and child.style in cut)):
                 stack.append((child, 0))
             elif child.tag in BLOCK:
                 if text := flush():
@@ -243,22 +233,41 @@ def _observe(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             part, out = pdf.iloc[at : at + 500], []
             for host, html, page in zip(part["host"], part["html"], part["page"], strict=True):
                 if html:
-                    out += [(host, *row, page) for row in _branches(parse(html, outline=True))]
+                    out += [(host, *row, page) for row in _branches(parse(html))]
             yield pd.DataFrame(out, columns=["host", "node", "shown", "said", "page"])
 
 
 def _branches(root: Node) -> list[tuple[int, int, int]]:
-    """Of every branch outside article and main that is no furniture: keys of style, child styles and text."""
+    """Of every branch of the whole page that has text: keys of style, child styles and content.
+
+    Content is that of the element's own blocks and of its children, without furniture where the element is none.
+    """
+    own: dict[Node, list[int]] = {}
+    for node, text in blocks(root, whole=True):
+        own.setdefault(node, []).append(key(text))
+    order, stack = [], [root]
+    while stack:
+        node = stack.pop()
+        inner = [c for c in node.children if c.__class__ is Node]
+        order.append((node, inner))
+        stack += inner
+    said: dict[Node, int] = {}
     found, texts = {}, {}
-    for node, text in blocks(root):
-        if node.main:
+    for node, inner in reversed(order):  # children first, in page order
+        told = own.get(node, [])
+        if inner:
+            told = told + [said[c] for c in inner if c in said and (node.furniture or not c.furniture)]
+        if not told:
             continue
-        while node is not None and node.parent is not None:
-            if node.tag not in ("html", "body"):
-                texts.setdefault(node.style, []).append(text)
-                found.setdefault(node.style, set()).update(c.style for c in node.children if isinstance(c, Node))
-            node = node.parent
-    return [(style, key("|".join(map(str, sorted(found[style])))), key("\n".join(ts))) for style, ts in texts.items()]
+        said[node] = content = hash(tuple(told))  # of integers, so the same in every process
+        if node is not root and node.tag not in ("html", "body"):
+            style = node.style
+            if style not in texts:
+                texts[style], found[style] = [], set()
+            texts[style].append(content)
+            if inner:
+                found[style].update([c.style for c in inner])
+    return [(style, hash(tuple(sorted(found[style]))), hash(tuple(ts))) for style, ts in texts.items()]
 
 
 def style_tree(df: DataFrame, host_col: str = "host", html_col: str = "html") -> DataFrame:

@@ -99,3 +99,26 @@ def test_articles_are_not_menus(spark):
     rows = [(i, "http://h.de/a", f"<article><p>The same story everywhere</p></article><i>{i}</i>") for i in range(30)]
     got = html_extract.main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
     assert {r.text for r in got} == {"The same story everywhere"}
+
+
+def test_the_style_tree_is_built_of_whole_pages(spark):
+    page = "<body><nav><p>Home</p></nav><div class='w'><p>Shop the best deals</p><article><h2>Story</h2><p>Number {0}</p></article></div><article><p>Second {0}</p></article><div class='x'><menu><li>{0}</menu>Open today</div><i>{0}</i>"
+    rows = [(i, f"http://h.de/{i}", page.format(i)) for i in range(20)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    root = html_extract.parse(rows[0][2])
+    body = next(c for c in root.children if c.tag == "body")
+    nav, wrap, article, side, _ = (c for c in body.children if not isinstance(c, str))
+    shop, inner = wrap.children
+    held = {style for style, _, _ in html_extract._branches(root)}
+    assert {n.style for n in (nav, nav.children[0], wrap, shop, inner, *inner.children, article, side, side.children[0])} <= held
+    low = {r.node for r in html_extract.style_tree(df.selectExpr("'h.de' AS host", "html")).collect()}
+    assert {nav.style, shop.style, inner.children[0].style, side.style} <= low and low.isdisjoint((wrap.style, inner.style, article.style, side.children[0].style))
+    assert {r.text for r in html_extract.main_text(df).collect()} == {f"Story\nNumber {i}\nSecond {i}" for i in range(20)}
+
+
+@pytest.mark.parametrize("html,text", [
+    ("<p>a <button><p>x</p><div>y</div></button> b</p>", "a b"), ("<ul><li>a<menu><li>x</menu>b</ul>", "a\nb"), ("<article><aside>x</article>y", "y"),
+    ("<section><div class='ad'>x</section><p>y", "y"), ("<nav><ul><li><a>x</ul><div>y</div></nav>z", "z"), ("<select><option>x<option>y</select>z", "z"),
+])
+def test_furniture_is_read_as_browsers_do(html, text):
+    assert html_extract.extract(html) == text
