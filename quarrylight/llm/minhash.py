@@ -50,6 +50,7 @@ BLOCK_NODES, SMALL_BUCKET = 4096, 64
 FIRST_PARTNERS, MORE_PARTNERS = 2, 32
 MOST_HELD = 1 << 17
 BUCKET_ROWS, DEALT_ROWS, MOST_ROWS = 1 << 16, 1 << 18, 1 << 20
+PARCELS = 64  # packed parcels in one batch to a Python worker
 BROADCAST_NODES = 200_000
 _rng = np.random.default_rng(20240607)
 _MULTIPLIERS = _rng.integers(1, 1 << 63, 2 * SIDE * WIDTH, np.uint64) | np.uint64(1)
@@ -358,7 +359,8 @@ def groups(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingl
     nodes = settle(rows.filter("n > 0").groupBy("node").agg(F.min("text_key").alias("text_key"), F.first("parity").alias("parity")))
     dealt = rows.filter("n > 0").select("node", "n", "keys").mapInArrow(_deal(2 * SIDE * rows.count() // BUCKET_ROWS + 1), "bucket int, data binary")
     halves = dealt.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(_shared, "i int, half long, node long, n long")
-    halves = settle(halves.distinct())
+    with small_batches(df.sparkSession, PARCELS):  # a batch of the usual number of rows would hold all parcels of a task
+        halves = settle(halves.distinct())
     first, second = halves.filter(F.col("i") < SIDE), halves.filter(F.col("i") >= SIDE)
     buckets = first.select("node", "n", F.col("half").alias("x")).join(second.select("node", F.col("half").alias("y")), "node").select(F.xxhash64("x", "y").alias("key"), "node", "n")
     tested = links = labels = None

@@ -315,3 +315,21 @@ def test_toxicity_without_labels(spark, documents):
     model = toxicity.train(df, spark.createDataFrame([], "doc_id long, toxic int"))
     assert {r.doc_id: r.predicted for r in toxicity.score(df, model).collect()} == {1: 1, 2: 0}
     assert toxicity.score(df.limit(0), model).count() == 0
+
+
+def test_parcels_go_to_python_a_few_at_a_time(spark, documents, monkeypatch):
+    shared, most = minhash._shared, minhash.PARCELS
+
+    def counted(batches):
+        def few():
+            for batch in batches:
+                assert batch.num_rows <= most, "all parcels of a task in one batch"
+                yield batch
+
+        yield from shared(few())
+
+    monkeypatch.setattr(minhash, "BUCKET_ROWS", 64)
+    monkeypatch.setattr(minhash, "_shared", counted)
+    rows = [doc(i, " ".join(f"w{i // 2}x{j}" for j in range(30))) for i in range(600)]
+    got = {r.doc_id: r.component_id for r in minhash.groups(documents(rows).repartition(4)).collect()}
+    assert got == {i: i - i % 2 for i in range(600)}
