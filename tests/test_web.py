@@ -30,6 +30,18 @@ def test_links():
     assert [x[1] for x in H.links(page, base, base)] == ["https://www.example.com/our-values", "https://www.example.com/contact", "https://www.example.com/a.pdf"]
 
 
+def test_pages_are_searched_once_and_in_small_batches(spark, monkeypatch):
+    seen = spark.sparkContext.accumulator(0)
+    monkeypatch.setattr(semantic, "excluded", lambda url: seen.add(1))
+    rows = [(i, "https://x.de/", '<a href="/v">a  b</a><a href="https://y.de/">c</a>' if i % 5 else None) for i in range(250)]
+    found = semantic.page_links(spark.createDataFrame(rows, "page_id int, url string, html string"), "url", "url")
+    assert [tuple(r) for r in found.orderBy("page_id").limit(2).collect()] == [(i, "https://x.de/", 0, "/v", "https://x.de/v", "/v", "a b") for i in (1, 2)]
+    seen.value = 0
+    assert found.select("page_id", "internal_url").toPandas().shape == (200, 2) and seen.value == 200
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BatchEvalPython") == 1 and "ArrowEvalPython" not in plan
+
+
 def test_probe_retries_and_reasons():
     class Flaky:
         def __init__(self, *answers):
