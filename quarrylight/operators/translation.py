@@ -3,12 +3,12 @@
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.rows import by_row
 from ..functions.text import collapse_ws, export_clean, strip_ws
 from ..schemas import EXPORT, TRANSLATION, names, require_columns
 from ..sources.providers import LanguageDetector, Translator
@@ -54,12 +54,12 @@ def translate_one(text: str, detector: LanguageDetector, translator: Translator,
 def translate_texts(texts: DataFrame, detector: LanguageDetector, translator: Translator, tasks: int | None = None) -> DataFrame:
     """Cache rows for a table of distinct texts (source_text); tasks bounds the calls at the same time."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            yield pd.DataFrame([translate_one(t, detector, translator) for t in pdf["source_text"]], columns=names(TRANSLATION))
+    @by_row(TRANSLATION)
+    def run(text: str) -> tuple:
+        return translate_one(text, detector, translator)
 
     rows = texts.repartition(tasks) if tasks else texts
-    return rows.mapInPandas(run, TRANSLATION)
+    return rows.select(run("source_text").alias("row")).select("row.*")
 
 
 def pending_texts(candidates: DataFrame, cache: DataFrame | None, retry_failed: bool = False) -> DataFrame:

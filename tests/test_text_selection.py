@@ -3,6 +3,7 @@ from pyspark.sql import functions as F
 
 from quarrylight.functions import text, vectors
 from quarrylight.operators import resume, selection, translation
+from quarrylight.sources import providers
 from quarrylight.sources.providers import MarkingTranslator, StopwordDetector
 
 
@@ -16,6 +17,37 @@ def test_unicode_space_and_case(spark):
     assert _one(spark, None, text.ascii_fold) == ""
 
 
+def test_spaces_that_unicode_knows(spark):
+    odd = ["", " ", "\u00a0\u3000\x85", "\u2003a \t\u00a0\nb\u200b", "\x1c", "\u2028x\u1680", "\u180e", "\x00 a", None]
+    both = F.struct(text.collapse_ws(F.col("t")).alias("now"), text.strip_ws(F.regexp_replace("t", text.rx(r"\s+"), " ")).alias("by_patterns"), F.col("t").rlike(text.rx(r"\S")).alias("says"))
+    rows = spark.createDataFrame([(x,) for x in odd], "t string").select(both.alias("r")).select("r.*").collect()
+    assert [r.now for r in rows] == [r.by_patterns for r in rows] and [r.says for r in rows] == [None if r.now is None else r.now != "" for r in rows]
+
+
+def test_detector_does_not_split_its_words_for_each_word(monkeypatch):
+    class Words(str):
+        splits = 0
+
+        def split(self, *_):
+            Words.splits += 1
+            return str.split(self)
+
+    monkeypatch.setattr(providers, "STOPWORDS", {c: (n, Words(w)) for c, (n, w) in providers.STOPWORDS.items()})
+    assert StopwordDetector().detect("le der Der la " * 50) == ("de", "German") and StopwordDetector().detect("le der") == ("de", "German")
+    assert Words.splits == 0
+    with pytest.raises(ValueError):
+        StopwordDetector().detect("12 xyz")
+
+
+def test_texts_are_translated_once_and_in_small_batches(spark):
+    texts = spark.createDataFrame([("der die das",), ("the of and",), ("xyz",), (None,)], "source_text string")
+    out = translation.translate_texts(texts, StopwordDetector(), MarkingTranslator())
+    assert {tuple(r) for r in out.filter("translated_value_text IS NOT NULL").collect()} == {("der die das", "de", True, "[de] der die das", "marking", "translated", ""), ("the of and", "en", False, "the of and", "not_required", "already_english", "")}
+    assert {(r.source_text, r.translation_error) for r in out.filter("translation_status = 'language_detection_failed'").collect()} == {("xyz", "ValueError"), (None, "AttributeError")}
+    plan = out.filter("translation_status = 'translated'")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BatchEvalPython") == 1 and "InPandas" not in plan
+
+
 @pytest.mark.parametrize("n", [0, 1, 1499, 1500, 1501, 2750, 2751, 9000])
 def test_chunks_follow_the_loop(spark, n):
     from quarrylight.operators.semantic import pieces
