@@ -3,6 +3,7 @@ import sys
 
 import pytest
 from pyspark import cloudpickle
+from pyspark.sql import functions as F
 
 from quarrylight import cli
 from quarrylight.functions import html as H
@@ -42,6 +43,23 @@ def test_pages_are_searched_once_and_in_small_batches(spark, monkeypatch):
     assert plan.count("BatchEvalPython") == 1 and "ArrowEvalPython" not in plan
 
 
+def test_page_texts_and_sections_in_small_batches(spark):
+    html = f"<nav>no</nav><h2>Our values</h2><p>integrity and respect, {FILLER}</p>"
+    pages = spark.createDataFrame([(1, html, ""), (2, None, "http_error_404"), (3, "<p>x", None)], "page_id int, html string, crawl_error string")
+    scored = [F.lit(0.0).alias(c) for c in ("content_positive_score", "content_negative_score", "semantic_margin")]
+    texts = semantic.page_texts(pages)
+    again = semantic.rescore(texts.select("*", *scored), HashEmbedder())
+    found = semantic.page_sections(pages, HashEmbedder())
+    scorer = semantic.scorer_for(HashEmbedder())
+    assert [r.page_text for r in texts.orderBy("page_id").collect()] == [H.page_text(html), "", "x"]
+    assert [tuple(r)[-3:] for r in again.orderBy("page_id").collect()] == [scorer.score_page(H.page_text(html)), (0.0, 0.0, 0.0), scorer.score_page("x")]
+    got = [r.asDict() for r in found.drop("html", "crawl_error").orderBy("page_id").collect()]
+    assert got == [{"page_id": i} | scorer.best_section(h) for i, h in ((1, html), (2, ""), (3, "<p>x"))] and got[0]["candidate_section_count"] == 1
+    for out, n in ((texts, 1), (again, 2), (found, 1)):
+        plan = out.filter(F.col(out.columns[-1]).isNotNull())._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("BatchEvalPython") == n and "ArrowEvalPython" not in plan
+
+
 def test_probe_retries_and_reasons():
     class Flaky:
         def __init__(self, *answers):
